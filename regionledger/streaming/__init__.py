@@ -1,0 +1 @@
+"""Empty on purpose: every input of this domain is a finished batch file or table."""
