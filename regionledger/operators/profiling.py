@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from regionledger.operators import aggregates
+from regionledger.sources.literals import literal
 
 # Definitions of well-known source columns.
 PAYROLL_DEFINITIONS = {
@@ -216,7 +217,7 @@ def definitions(spark: SparkSession, names: DataFrame, source: str = "") -> Data
         ranked += [(n, d, 0.95, "preset:abs", 2) for n, d in SURVEY_DEFINITIONS.items()]
     ranked += [(n, d, 0.9, "preset:qcew", 3) for n, d in PAYROLL_DEFINITIONS.items()]
     ranked += [(n, d, 0.9, "preset:abs", 4) for n, d in SURVEY_DEFINITIONS.items()]
-    preset = spark.createDataFrame(ranked, "name string, definition string, confidence double, origin string, p int")
+    preset = literal(spark, ranked, "name string, definition string, confidence double, origin string, p int")
     best = aggregates.keep_one(preset, ["name"], [F.col("p")]).drop("p")
     guess = F.lit(None).cast("string")
     for pattern, text in reversed(NAME_PATTERNS):
@@ -234,7 +235,7 @@ def definitions(spark: SparkSession, names: DataFrame, source: str = "") -> Data
 def types_table(df: DataFrame, declared: dict[str, str]) -> DataFrame:
     """Declared against observed type, one row per column of the schema."""
     rows = [(f.name, declared.get(f.name), f.dataType.simpleString()) for f in df.schema.fields]
-    t = df.sparkSession.createDataFrame(rows, "name string, declared_type string, observed_type string")
+    t = literal(df.sparkSession, rows, "name string, declared_type string, observed_type string")
     return t.withColumn("type_match", F.contains("observed_type", F.lower("declared_type")))
 
 

@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regionledger import schemas as S
 from regionledger.operators import aggregates
+from regionledger.sources.literals import literal
 
 
 def stack(frames: list[DataFrame], allow_missing: bool = False) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
 
 
-def append_rows(df: DataFrame, rows: list[tuple], columns: list[str]) -> DataFrame:
+def append_rows(df: DataFrame, rows: list[tuple], ddl: str) -> DataFrame:
     """Append a short literal list; columns it does not give are null."""
-    extra = df.sparkSession.createDataFrame(rows, columns)
+    extra = literal(df.sparkSession, rows, ddl)
     return df.unionByName(extra, allowMissingColumns=True)
 
 
@@ -39,7 +40,7 @@ def state_rollup_rows(states: DataFrame) -> DataFrame:
 
 
 def state_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(S.STATES, ["state_fips_cd", "state_cd", "state_nm"])
+    return literal(spark, S.STATES, "state_fips_cd string, state_cd string, state_nm string")
 
 
 def unexpected(df: DataFrame, allowed: DataFrame, column: str) -> DataFrame:

@@ -108,18 +108,20 @@ def benchmark(
     base = with_ratios(base).withColumn("state_fips_cd", codes.state_of(F.col("state_cnty_fips_cd")))
 
     county, year = "state_cnty_fips_cd", "year_num"
-    base = base.repartition(county)
-    for m, (prev, _) in MEASURES.items():
-        base = base.withColumn(prev, windows.previous(m, [county, "naics2_sector_cd"]))
-    base = base.withColumn("cnty_abs_firm_num", windows.group_sum("abs_firm_num", [county, year]))
-    base = base.withColumn("cnty_abs_rcpt_usd_amt", windows.group_sum("abs_rcpt_usd_amt", [county, year]))
-    base = base.withColumn("cnty_firm_share", windows.share("abs_firm_num", "cnty_abs_firm_num"))
-    base = base.withColumn("cnty_firm_cncntrtn_idx", windows.concentration("cnty_firm_share", [county, year]))
-    base = base.withColumn("cnty_abs_firm_prev_year_num", windows.previous_group_total("cnty_abs_firm_num", [county]))
+    # One select per window specification: mixing them would exchange more often.
+    base = base.repartition(county).select(
+        "*", *[windows.previous(m, [county, "naics2_sector_cd"]).alias(p) for m, (p, _) in MEASURES.items()]
+    )
+    base = base.select(
+        "*", windows.group_sum("abs_firm_num", [county, year]).alias("cnty_abs_firm_num"),
+        windows.group_sum("abs_rcpt_usd_amt", [county, year]).alias("cnty_abs_rcpt_usd_amt"),
+    ).withColumn("cnty_firm_share", windows.share("abs_firm_num", "cnty_abs_firm_num"))
+    base = base.select(
+        "*", windows.concentration("cnty_firm_share", [county, year]).alias("cnty_firm_cncntrtn_idx"),
+    ).withColumn("cnty_abs_firm_prev_year_num", windows.previous_group_total("cnty_abs_firm_num", [county]))
 
     base = joins.lookup(base, state_context(state_totals), totals.STATE_KEY)
-    for m, (_, rank) in MEASURES.items():
-        base = base.withColumn(rank, windows.rank_desc(m, totals.STATE_KEY))
+    base = base.select("*", *[windows.rank_desc(m, totals.STATE_KEY).alias(r) for m, (_, r) in MEASURES.items()])
     return filters.without_statewide(base).select(COLUMNS)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from regionledger import schemas as S
 from regionledger.functions import codes, exprs
 from regionledger.operators import aggregates, columns, filters, sets
+from regionledger.sources.literals import literal
 
 GAZETTEER_NAMES = {
     "GEOID": "state_cnty_fips_cd", "USPS": "state_cd", "ANSICODE": "cnty_ansi_nm", "NAME": "cnty_nm",
@@ -32,7 +33,7 @@ def counties(gazetteer: DataFrame, supplements: bool = True) -> DataFrame:
 
 def supplement_rows(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
-    manual = spark.createDataFrame(S.COUNTY_SUPPLEMENTS, ["state_cnty_fips_cd", "state_cd", "cnty_nm"])
+    manual = literal(spark, S.COUNTY_SUPPLEMENTS, "state_cnty_fips_cd string, state_cd string, cnty_nm string")
     return sets.state_rollup_rows(sets.state_table(spark)).unionByName(manual)
 
 
@@ -53,4 +54,4 @@ def population_matches(ref: DataFrame) -> DataFrame:
 def sectors(raw: DataFrame) -> DataFrame:
     """Sector labels plus the all-sector and unclassified rows."""
     base = raw.select(F.trim("naics2_sector_cd").alias("naics2_sector_cd"), F.trim("naics2_sector_desc").alias("naics2_sector_desc"))
-    return sets.append_rows(base, S.SECTOR_EXTRAS, ["naics2_sector_cd", "naics2_sector_desc"])
+    return sets.append_rows(base, S.SECTOR_EXTRAS, "naics2_sector_cd string, naics2_sector_desc string")

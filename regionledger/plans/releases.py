@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from regionledger import schemas as S
 from regionledger.functions import codes, exprs
 from regionledger.operators import aggregates, columns, joins, quality, sets
+from regionledger.sources.literals import literal
 
 TOTAL_NAMES = ["TOTAL_RELEASES_LBS", "TOTAL_RELEASE_LBS"]
 INDUSTRY_NAMES = ["PRIMARY_NAICS", "PRIMARY_NAICS_CODE", "NAICS_CODE"]
@@ -85,8 +86,9 @@ def county_lookup(reference: DataFrame, overrides: DataFrame | None = None) -> D
         long, ["state_code", "county_name_norm"], [order[F.col("variant")], F.col("county_fips_5")]
     ).drop("variant")
     if overrides is None:
-        overrides = reference.sparkSession.createDataFrame(
-            S.COUNTY_NAME_OVERRIDES, ["state_code", "county_name_norm", "county_fips_5"]
+        overrides = literal(
+            reference.sparkSession, S.COUNTY_NAME_OVERRIDES,
+            "state_code string, county_name_norm string, county_fips_5 string",
         )
     return sets.with_overrides(base, overrides, ["state_code", "county_name_norm"])
 

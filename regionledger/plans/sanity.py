@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from regionledger.functions import codes, exprs
 from regionledger.operators import columns, joins, quality, sets
 from regionledger.operators.quality import ERROR, WARN, Check
+from regionledger.sources.literals import literal
 
 # Accepted export names per canonical column, best first.
 FACT_NAMES = {
@@ -122,7 +123,7 @@ def run(
         header_checks("fact", fact, fact_missing) + header_checks("sectors", sectors, sector_missing)
         + header_checks("counties", counties, county_missing)
     )
-    parts = [spark.createDataFrame(heads, "check string, severity string, passed boolean, failed_rows bigint, detail string")]
+    parts = [literal(spark, heads, "check string, severity string, passed boolean, failed_rows bigint, detail string")]
     if not (fact_missing or sector_missing or county_missing):
         parts += [
             row_checks(f, expected_years), key_check(f),

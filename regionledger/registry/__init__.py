@@ -6,7 +6,7 @@ import importlib
 
 from regionledger.registry import core
 
-_MODULES = ["plans"]
+_MODULES = ["scalars", "shapes", "plans"]
 
 
 def _load() -> None:

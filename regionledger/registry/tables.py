@@ -9,7 +9,7 @@ two further sums instead of a row-multiplying distinct aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from regionledger import schemas as S
 from regionledger.functions import codes
@@ -26,8 +26,15 @@ UNLISTED = [7, 19]
 YEARS = list(range(1995, 2002))
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read(spark: SparkSession, d: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{table}.parquet")
+    """Provided table; its schema is looked up once per process, not once per use."""
+    path = f"{d}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def money(c: str):
@@ -202,7 +209,7 @@ def sector_ref(spark: SparkSession, d: str) -> DataFrame:
     base = industries(spark, d).select("naics2_sector_cd").where(
         ~F.col("naics2_sector_cd").isin("92", "99")
     ).distinct().withColumn("naics2_sector_desc", F.concat(F.lit("Sector "), "naics2_sector_cd"))
-    return sets.append_rows(base, S.SECTOR_EXTRAS, ["naics2_sector_cd", "naics2_sector_desc"])
+    return sets.append_rows(base, S.SECTOR_EXTRAS, "naics2_sector_cd string, naics2_sector_desc string")
 
 
 def gdp_wide(spark: SparkSession, d: str) -> DataFrame:
