@@ -50,11 +50,17 @@ def unexpected(df: DataFrame, allowed: DataFrame, column: str) -> DataFrame:
 
 
 def gaps(df: DataFrame, column: str) -> DataFrame:
-    """Integers missing between the smallest and the largest value present."""
-    present = df.select(column).dropna().distinct()
-    span = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    full = span.select(F.explode(F.sequence("lo", "hi")).alias(column))
-    return full.join(present, column, "left_anti")
+    """Integers missing between the smallest and the largest value present.
+
+    The two ends come back as one row; the numbers between them are generated by
+    the cluster, so long series are as good as a handful of years.
+    """
+    lo, hi = df.agg(F.min(column), F.max(column)).first()
+    kind = df.schema[column].dataType
+    full = df.sparkSession.range(lo or 0, (hi if hi is not None else -1) + 1)
+    return full.select(F.col("id").cast(kind).alias(column)).join(
+        df.select(column).dropna(), column, "left_anti"
+    )
 
 
 def with_overrides(base: DataFrame, overrides: DataFrame, keys: list[str]) -> DataFrame:

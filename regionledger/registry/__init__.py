@@ -6,7 +6,7 @@ import importlib
 
 from regionledger.registry import core
 
-_MODULES = ["scalars", "shapes", "plans"]
+_MODULES = ["scalars", "shapes", "combining", "measures", "plans"]
 
 
 def _load() -> None:

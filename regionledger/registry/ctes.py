@@ -207,10 +207,10 @@ CTES: dict[str, str] = {
         naics2_sector_cd, CAST(abs_firm_num AS VARCHAR) AS abs_firm_num,
         CASE WHEN {KEY_NUMBER} % 29 = 0 THEN NULL ELSE CAST(abs_emp_num AS VARCHAR) END AS abs_emp_num,
         CASE WHEN {KEY_NUMBER} % 13 = 0 THEN '1e5' WHEN {KEY_NUMBER} % 31 = 0 THEN '-5'
-          ELSE CAST(CAST(abs_payroll_usd_amt AS DECIMAL(20,2)) AS VARCHAR) END AS abs_payroll_usd_amt,
-        CASE WHEN {KEY_NUMBER} % 37 = 0 THEN 'n/a' ELSE CAST(CAST(abs_rcpt_usd_amt AS DECIMAL(20,2)) AS VARCHAR) END AS abs_rcpt_usd_amt,
+          ELSE CAST(CAST(floor(abs_payroll_usd_amt) AS BIGINT) AS VARCHAR) END AS abs_payroll_usd_amt,
+        CASE WHEN {KEY_NUMBER} % 37 = 0 THEN 'n/a' ELSE CAST(CAST(floor(abs_rcpt_usd_amt) AS BIGINT) AS VARCHAR) END AS abs_rcpt_usd_amt,
         CAST(qcew_ann_avg_emp_lvl_num AS VARCHAR) AS qcew_ann_avg_emp_lvl_num,
-        CAST(CAST(qcew_ttl_ann_wage_usd_amt AS DECIMAL(20,2)) AS VARCHAR) AS qcew_ttl_ann_wage_usd_amt,
+        CAST(CAST(floor(qcew_ttl_ann_wage_usd_amt) AS BIGINT) AS VARCHAR) AS qcew_ttl_ann_wage_usd_amt,
         '100' AS qcew_avg_wkly_wage_usd_amt
       FROM cells""",
     "state_totals": """

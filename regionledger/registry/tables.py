@@ -351,7 +351,7 @@ def export_text(spark: SparkSession, d: str) -> DataFrame:
     df = fact.merged(survey(spark, d, rollups=False), payroll(spark, d, rollups=False))
     k = key_number()
     text = lambda c: F.col(c).cast("string")
-    money_text = lambda c: F.col(c).cast("decimal(20,2)").cast("string")
+    money_text = lambda c: F.floor(c).cast("bigint").cast("string")
     return df.select(
         text("year_num").alias("year_num"), F.when(k % 97 == 0, F.substring("state_cnty_fips_cd", 1, 4)).otherwise(F.col("state_cnty_fips_cd")).alias("fips"),
         F.col("naics2_sector_cd"), text("abs_firm_num").alias("abs_firm_num"),
