@@ -37,9 +37,10 @@ def resolve(raw: DataFrame) -> DataFrame:
     return columns.rename_synonyms(raw, SYNONYMS, OPTIONAL)
 
 
-def county_rows(df: DataFrame) -> DataFrame:
-    padded = df.withColumn("state_cnty_fips_cd", codes.zfill(F.col("state_cnty_fips_cd"), 5))
-    return padded.where(F.length("state_cnty_fips_cd") == 5)
+def county_rows(df: DataFrame, pad: bool = True) -> DataFrame:
+    area = F.col("state_cnty_fips_cd")
+    coded = df.withColumn("state_cnty_fips_cd", codes.zfill(area, 5) if pad else F.trim(area))
+    return coded.where(F.length("state_cnty_fips_cd") == 5)
 
 
 def summed(df: DataFrame, extra_keys: list[str], digits: int) -> DataFrame:
@@ -63,7 +64,8 @@ def summed(df: DataFrame, extra_keys: list[str], digits: int) -> DataFrame:
 
 def sectors(
     raw: DataFrame, years: list[int] | None = None, own: str | None = "5", level: str | None = "74",
-    sector=codes.sector_from_code, digits: int = 9, resolved: bool = False,
+    sector=codes.sector_from_code, digits: int = 9, annual: bool = True, pad: bool = True,
+    resolved: bool = False,
 ) -> DataFrame:
     """Raw annual rows to the canonical payroll table.
 
@@ -73,10 +75,11 @@ def sectors(
     df = raw if resolved else resolve(raw)
     if years is not None:
         df = df.where(F.col("year_num").isin([str(y) for y in years]))
-    df = filters.annual_rows(df)
+    if annual:
+        df = filters.annual_rows(df)
     if own is not None:
         df = filters.ownership(df, own)
-    df = county_rows(df)
+    df = county_rows(df, pad)
     if level is not None:
         df = filters.aggregation_level(df, level)
     df = df.withColumn("naics2_sector_cd", sector(F.trim("indstr_cd")))
@@ -96,8 +99,9 @@ def two_digits(c):
 
 
 def total_ownership(raw: DataFrame, years: list[int] | None = None) -> DataFrame:
-    """All-ownership rows with plain two-digit sectors, any aggregation level."""
-    return sectors(raw, years, own="0", level=None, sector=two_digits).drop("own_cd")
+    """All-ownership rows with plain two-digit sectors, any aggregation level, codes as given."""
+    out = sectors(raw, years, own="0", level=None, sector=two_digits, annual=False, pad=False)
+    return out.drop("own_cd")
 
 
 def official_sectors(raw: DataFrame, years: list[int] | None = None, check: bool = True) -> DataFrame:
