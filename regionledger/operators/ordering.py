@@ -20,4 +20,4 @@ def top_k_abs(df: DataFrame, measure: str, tie: list[str], k: int) -> DataFrame:
 
 def seeded_sample(df: DataFrame, key: list[str], rows: int, seed: int = 42) -> DataFrame:
     """Repeatable sample of at most ``rows`` rows, independent of partitioning."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(rows)
+    return df.orderBy(F.md5(F.concat_ws("|", *key, F.lit(str(seed)))), *key).limit(rows)

@@ -6,7 +6,7 @@ import importlib
 
 from regionledger.registry import core
 
-_MODULES = ["scalars", "shapes", "combining", "measures", "plans", "checks"]
+_MODULES = ["scalars", "shapes", "combining", "measures", "plans", "checks", "files"]
 
 
 def _load() -> None:

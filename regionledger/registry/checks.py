@@ -374,7 +374,7 @@ def profiled(spark, d):
     return t.read(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", seg.alias("c_mktsegment"))
 
 
-@query("pf1_dataset_summary", "SELECT COUNT(*) AS row_cnt, CAST(7 AS BIGINT) - 1 AS col_cnt FROM part")
+@query("pf1_dataset_summary", "SELECT COUNT(*) AS row_cnt, CAST(6 AS BIGINT) AS col_cnt FROM part")
 def _pf1(spark, d):
     return profiling.dataset_summary(t.read(spark, d, "part"))
 

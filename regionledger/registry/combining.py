@@ -223,7 +223,7 @@ def _st3(spark, d):
     return ordering.top_k_abs(df, "diff", ["c_custkey"], 5)
 
 
-@query("st4_seeded_sample")
+@query("st4_seeded_sample", "SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '|42'), o_orderkey LIMIT 1000")
 def _st4(spark, d):
     return ordering.seeded_sample(t.read(spark, d, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 1000)
 

@@ -112,14 +112,16 @@ def ragged_tsv(spark: SparkSession, path: str, header_keyword: str) -> tuple[Dat
     return rows, body.where(odd)
 
 
-def json_header_rows(spark: SparkSession, path: str, wanted: list[str]) -> DataFrame:
+def json_header_rows(
+    spark: SparkSession, path: str, wanted: list[str], keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Payload files ``[[header], [row], ...]``, one row out per payload row.
 
     Fields are taken by the first header position of their name, so a header that
     repeats a name is harmless. An empty or broken payload gives one row of nulls
-    with a note.
+    with a note. ``keep`` names path columns (year, state) to carry along.
     """
-    return header_rows(spark.read.text(path, wholetext=True), "value", wanted)
+    return header_rows(spark.read.text(path, wholetext=True), "value", wanted, keep)
 
 
 def header_rows(df: DataFrame, payload: str, wanted: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
