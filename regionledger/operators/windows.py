@@ -108,16 +108,18 @@ def z_scores(df: DataFrame, measure: str, name: str = "z") -> DataFrame:
     )
 
 
-def year_over_year(df: DataFrame, measures: dict[str, str]) -> DataFrame:
+def with_year_over_year(df: DataFrame, measures: dict[str, str]) -> DataFrame:
     """Relative change against the previous row of a one-row-per-year table."""
     w = Window.orderBy("year_num")
+    before = {src: F.lag(src).over(w).cast("double") for src in measures}
     changes = [
-        exprs.safe_ratio(
-            F.col(src).cast("double") - F.lag(src).over(w).cast("double"),
-            F.lag(src).over(w).cast("double"),
-        ).alias(dst)
+        exprs.safe_ratio(F.col(src).cast("double") - before[src], before[src]).alias(dst)
         for src, dst in measures.items()
     ]
-    return df.select("year_num", F.lag("year_num").over(w).alias("__prev"), *changes).where(
-        F.col("__prev").isNotNull()
-    ).drop("__prev")
+    return df.select("*", F.lag("year_num").over(w).alias("prev_year_num"), *changes)
+
+
+def year_over_year(df: DataFrame, measures: dict[str, str]) -> DataFrame:
+    """Only the changes, for years that have a previous one."""
+    out = with_year_over_year(df, measures).where(F.col("prev_year_num").isNotNull())
+    return out.select("year_num", *measures.values())

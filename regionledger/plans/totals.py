@@ -92,5 +92,4 @@ def national(fact: DataFrame, years: list[int] | None = None) -> DataFrame:
 
 def national_snapshot(fact: DataFrame, years: list[int] | None = None) -> DataFrame:
     """National totals per year with the change against the previous year shown."""
-    base = national(fact, years)
-    return base.join(windows.year_over_year(base, YOY), "year_num", "left")
+    return windows.with_year_over_year(national(fact, years), YOY).drop("prev_year_num")

@@ -163,8 +163,9 @@ _RS_DOUBLES = [x for n, _, src, st, dl in _SV for x in (src, dl, f"delta_{n}_pct
 
 
 def _survey_report(spark, d):
-    source = reconcile.survey_source(t.survey_raw(spark, d).where(C("county") != "12"))
-    return reconcile.survey(source, t.stored_survey(spark, d))
+    cells = t.loaded(t.survey_cells(spark, d))
+    source = reconcile.survey_source(t.survey_raw(spark, d, cells).where(C("county") != "12"))
+    return reconcile.survey(source, t.stored_survey(spark, d, cells))
 
 
 @query("dq10_reconcile_survey", _RECON_SURVEY, *_RS_DOUBLES)
@@ -198,8 +199,8 @@ _RP_DOUBLES = ["source_qcew_annual_avg_emplvl", "source_qcew_total_annual_wages_
 
 
 def _payroll_report(spark, d):
-    source = reconcile.payroll_source(t.payroll_raw(spark, d)).where(C("state_cnty_fips_cd") != "03003")
-    return reconcile.payroll(source, t.stored_payroll(spark, d))
+    source = t.loaded(reconcile.payroll_source(t.payroll_raw(spark, d)))
+    return reconcile.payroll(source.where(C("state_cnty_fips_cd") != "03003"), t.stored_payroll(source))
 
 
 @query("dq11_reconcile_payroll", _RECON_PAYROLL, *_RP_DOUBLES)
@@ -213,8 +214,9 @@ def _dq11(spark, d):
         UNION ALL SELECT 'outside', COUNT(*), CAST(0 AS BIGINT) FROM survey_raw WHERE NAICS2022 = '81'""",
 )
 def _dq12(spark, d):
-    stored = t.stored_survey(spark, d).where(C("naics2_sector_cd") != "81")
-    report, outside = reconcile.survey_whole_surface(reconcile.survey_source(t.survey_raw(spark, d)), stored)
+    cells = t.loaded(t.survey_cells(spark, d))
+    stored = t.stored_survey(spark, d, cells).where(C("naics2_sector_cd") != "81")
+    report, outside = reconcile.survey_whole_surface(reconcile.survey_source(t.survey_raw(spark, d, cells)), stored)
     inside = report.agg(F.count(F.lit(1)).alias("row_cnt"), F.count_if("pass_all").alias("passed_cnt")).withColumn("part", F.lit("inside"))
     return inside.unionByName(outside.agg(F.count(F.lit(1)).alias("row_cnt"), F.lit(0).cast("bigint").alias("passed_cnt")).withColumn("part", F.lit("outside")))
 
@@ -234,7 +236,7 @@ def _dq13(spark, d):
 @query("dq14_export_sanity_suite")
 def _dq14(spark, d):
     sectors = t.sector_ref(spark, d).where(C("naics2_sector_cd") != "00")
-    return sanity.run(t.export_text(spark, d), sectors, t.county_ref(spark, d), t.YEARS[:6], 25, 21)
+    return sanity.run(t.loaded(t.export_text(spark, d)), sectors, t.county_ref(spark, d), t.YEARS[:6], 25, 21)
 
 
 _X = "export_text"

@@ -72,7 +72,7 @@ FROM (
 
 
 def fact_frame(spark, d):
-    s, q = t.survey(spark, d), t.payroll(spark, d)
+    s, q = t.loaded(t.survey(spark, d)), t.loaded(t.payroll(spark, d))
     return fact.benchmark(s, q, t.county_ref(spark, d), t.sector_ref(spark, d), totals.state_totals(s, q))
 
 
@@ -218,7 +218,7 @@ def _pl8(spark, d):
     *_CBSA_DOUBLES,
 )
 def _pl9(spark, d):
-    rolled, x = _rolled(spark, d), metro.crosswalk(t.crosswalk(spark, d))
+    rolled, x = t.loaded(_rolled(spark, d)), metro.crosswalk(t.crosswalk(spark, d))
     a = metro.large_metros(rolled, x, threshold=1300).withColumn("by_what", F.lit("firms"))
     return a.unionByName(metro.large_metros(rolled, x, "population", 65000).withColumn("by_what", F.lit("population")))
 
@@ -260,7 +260,7 @@ def _pl11(spark, d):
         FROM ({' UNION ALL '.join(f"SELECT '{c}' AS y, " + f'"{c}" AS v FROM ({_TIDY})' for c in _GCOLS)}) GROUP BY 1""", "total",
 )
 def _pl11b(spark, d):
-    tidied = gdp.tidy(t.gdp_wide(spark, d), _GY)
+    tidied = t.loaded(gdp.tidy(t.gdp_wide(spark, d), _GY))
     failed = gdp.checks(tidied, _GY).agg(F.sum("failed_rows").alias("failed_rows"))
     return gdp.long_form(tidied, _GY).groupBy("year_num").agg(
         F.count(F.lit(1)).alias("row_cnt"), F.count("gdp_amt").alias("value_cnt"),
@@ -309,7 +309,7 @@ def _pl12(spark, d):
         ON c.naics_sector = r.IndustryClassification AND c.line_code = r.LineCode WHERE national_gdp IS NULL""", "national_gdp",
 )
 def _pl13(spark, d):
-    wide = t.gdp_wide(spark, d)
+    wide = t.loaded(t.gdp_wide(spark, d))
     sector = F.when(F.col("IndustryClassification") == "23", "X").otherwise(F.col("IndustryClassification"))
     county = wide.select(F.col("GeoFIPS").alias("state"), sector.alias("naics_sector"), F.col("LineCode").alias("line_code"), F.col("1997").alias("value"))
     attached = gdp.attach_lines(county, gdp.line_reference(wide, 1997))
@@ -359,7 +359,7 @@ def _pl17(spark, d):
         COUNT(state_cnty_fips_cd) * 1.0 / COUNT(*) AS resolve_rate, CAST(0 AS BIGINT) AS bad_length_cnt FROM ({_CODED})) s""", "resolve_rate",
 )
 def _pl17b(spark, d):
-    coded = coded_releases(spark, d)
+    coded = t.loaded(coded_releases(spark, d))
     misses = releases.unresolved(coded).agg(F.count(F.lit(1)))
     return releases.resolve_rate(coded).withColumn("unresolved_cnt", misses.scalar())
 
@@ -381,7 +381,7 @@ def _pl18(spark, d):
             codes.state_of(fips).alias("state"), codes.county_of(fips).alias("county"), F.col("naics2_sector_cd").alias("naics2")
         ).agg(F.sum(measure).alias(name))
 
-    total = releases.by_county(releases.facilities(t.facilities_raw(spark, d)))
+    total = t.loaded(releases.by_county(releases.facilities(t.facilities_raw(spark, d))))
     return releases.intensity(
         total, side(t.survey_cells(spark, d), "abs_firm_num", "abs_firms"),
         side(t.payroll_cells(spark, d), "qcew_ann_avg_emp_lvl_num", "qcew_emp"),

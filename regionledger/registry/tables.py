@@ -15,6 +15,7 @@ from regionledger import schemas as S
 from regionledger.functions import codes
 from regionledger.operators import sets
 from regionledger.plans import totals
+from regionledger.sources import scratch
 
 # Two-digit industry prefixes, one per part brand 1..25.
 INDUSTRIES = [
@@ -41,6 +42,19 @@ def money(c: str):
     return F.col(c).cast("decimal(18,2)")
 
 
+def hundredths(c: str):
+    """A two-digit amount as whole hundredths.
+
+    Line level sums run on long integers, which is exact and several times faster
+    than wide decimals; a cell's sum is widened before anything is added across cells.
+    """
+    return F.round(F.col(c) * 100).cast("bigint")
+
+
+def from_units(c: str, units: int):
+    return (F.col(c).cast("decimal(28,0)") / F.lit(units).cast("decimal(6,0)")).cast(S.MONEY)
+
+
 def geography(spark: SparkSession, d: str) -> DataFrame:
     state = codes.zfill((F.col("n_regionkey") + 1).cast("string"), 2)
     county = codes.zfill((F.col("n_nationkey") + 1).cast("string"), 3)
@@ -63,8 +77,8 @@ def industries(spark: SparkSession, d: str) -> DataFrame:
 def survey_cells(spark: SparkSession, d: str) -> DataFrame:
     """County x sector x year; firms are customers, employment is orders."""
     lines = read(spark, d, "lineitem").select(
-        "l_orderkey", "l_partkey", money("l_extendedprice").alias("rcpt"),
-        (money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).alias("pay"),
+        "l_orderkey", "l_partkey", hundredths("l_extendedprice").alias("rcpt"),
+        (hundredths("l_extendedprice") * hundredths("l_discount")).alias("pay"),
     )
     per_order = (
         lines.join(industries(spark, d), F.col("l_partkey") == F.col("p_partkey"))
@@ -84,8 +98,8 @@ def survey_cells(spark: SparkSession, d: str) -> DataFrame:
     )
     cells = per_firm.groupBy(*S.FACT_KEY).agg(
         F.count(F.lit(1)).alias("firms"), F.sum("emp").alias("emp"),
-        F.sum("pay").cast(S.MONEY).alias("pay"), F.sum("rcpt").cast(S.MONEY).alias("rcpt"),
-    )
+        F.sum("pay").alias("pay"), F.sum("rcpt").alias("rcpt"),
+    ).withColumns({"pay": from_units("pay", 10000), "rcpt": from_units("rcpt", 100)})
     shown = F.col("firms") >= 3
     return cells.select(
         *S.FACT_KEY,
@@ -110,8 +124,8 @@ def payroll_lines(spark: SparkSession, d: str) -> DataFrame:
 def payroll_cells(spark: SparkSession, d: str) -> DataFrame:
     return payroll_lines(spark, d).where(F.col("l_returnflag") == "R").groupBy(*S.FACT_KEY).agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("qcew_ann_avg_emp_lvl_num"),
-        F.sum(money("l_extendedprice")).cast(S.MONEY).alias("qcew_ttl_ann_wage_usd_amt"),
-    )
+        F.sum(hundredths("l_extendedprice")).alias("qcew_ttl_ann_wage_usd_amt"),
+    ).withColumn("qcew_ttl_ann_wage_usd_amt", from_units("qcew_ttl_ann_wage_usd_amt", 100))
 
 
 def _with_rollups(cells: DataFrame, measures: list[str]) -> DataFrame:
@@ -127,6 +141,15 @@ def _with_rollups(cells: DataFrame, measures: list[str]) -> DataFrame:
     ).agg(*[F.sum(m).cast(cells.schema[m].dataType).alias(m) for m in measures])
 
 
+def loaded(df: DataFrame) -> DataFrame:
+    """A derived input as a stored table, for plans that read it more than once.
+
+    The plans expect loaded tables. Left as a view, each of their branches would
+    derive it from the line items again, under its own filters.
+    """
+    return scratch.materialise(df)
+
+
 def survey(spark: SparkSession, d: str, rollups: bool = True) -> DataFrame:
     cells = survey_cells(spark, d)
     if rollups:
@@ -172,12 +195,13 @@ def payroll_raw(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def survey_raw(spark: SparkSession, d: str) -> DataFrame:
+def survey_raw(spark: SparkSession, d: str, cells: DataFrame | None = None) -> DataFrame:
     """Published survey rows as text, money in $1,000s, withheld cells as ``D``."""
     def text(c: str, k: int = 1):
         return F.coalesce(F.floor(F.col(c) / k).cast("bigint").cast("string"), F.lit("D"))
 
-    return survey_cells(spark, d).select(
+    cells = survey_cells(spark, d) if cells is None else cells
+    return cells.select(
         F.col("year_num").cast("string").alias("year_num"),
         F.concat(F.lit("Area "), "state_cnty_fips_cd").alias("NAME"),
         F.concat(F.lit("0500000US"), "state_cnty_fips_cd").alias("GEO_ID"),
@@ -317,10 +341,11 @@ def key_number():
     )
 
 
-def stored_survey(spark: SparkSession, d: str) -> DataFrame:
+def stored_survey(spark: SparkSession, d: str, cells: DataFrame | None = None) -> DataFrame:
     """The survey table as stored: small and large deviations, one county missing."""
     k = key_number()
-    return survey_cells(spark, d).where(F.col("state_cnty_fips_cd") != "04004").select(
+    cells = survey_cells(spark, d) if cells is None else cells
+    return cells.where(F.col("state_cnty_fips_cd") != "04004").select(
         *S.FACT_KEY, F.col("abs_firm_num").alias("stored_abs_firms"),
         (F.col("abs_emp_num") + F.when(k % 17 == 0, 1).otherwise(0)).alias("stored_abs_emp"),
         (F.floor(F.col("abs_payroll_usd_amt") / 1000) * 1000 + F.when(k % 5 == 0, 500).otherwise(0)).cast("double").alias("stored_abs_payroll_usd_amt"),
@@ -328,13 +353,10 @@ def stored_survey(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def stored_payroll(spark: SparkSession, d: str) -> DataFrame:
-    """Payroll as stored: every fifth cell off, weekly wages partly absent."""
-    from regionledger.plans import reconcile
-
+def stored_payroll(source: DataFrame) -> DataFrame:
+    """Published payroll cells as stored: every fifth one off, weekly wages partly absent."""
     k = key_number()
-    src = reconcile.payroll_source(payroll_raw(spark, d))
-    return src.where(F.col("state_cnty_fips_cd") != "02002").select(
+    return source.where(F.col("state_cnty_fips_cd") != "02002").select(
         F.col("year").cast("int").alias("year_num"), "state_cnty_fips_cd", "naics2_sector_cd",
         F.col("annual_avg_emplvl").try_cast("double").alias("e"), F.col("total_annual_wages").try_cast("double").alias("w"),
     ).select(
