@@ -233,19 +233,11 @@ def _dq13(spark, d):
 # --- export checks ---------------------------------------------------------------------------
 
 
-@query("dq14_export_sanity_suite")
-def _dq14(spark, d):
-    sectors = t.sector_ref(spark, d).where(C("naics2_sector_cd") != "00")
-    return sanity.run(t.loaded(t.export_text(spark, d)), sectors, t.county_ref(spark, d), t.YEARS[:6], 25, 21)
-
-
 _X = "export_text"
 _PAYV = number("abs_payroll_usd_amt")
 
 
-@query(
-    "dq14_export_row_checks",
-    " UNION ALL ".join([
+_ROW_CHECKS = " UNION ALL ".join([
         check_row("fact: county code format", "ERROR", "COUNT(*) FILTER (NOT regexp_matches(fips, '^[0-9]{5}$'))", "rows without a five-digit code", _X),
         check_row("fact: year numeric", "ERROR", f"COUNT(*) FILTER ({number('year_num')} IS NULL)", "rows without a numeric year", _X),
         check_row("fact: year integer", "ERROR", f"COUNT(*) FILTER ({number('year_num')} % 1 <> 0)", "rows with a fractional year", _X),
@@ -255,12 +247,45 @@ _PAYV = number("abs_payroll_usd_amt")
         check_row("fact: negative counts", "ERROR", "0", "negative firms or employment", "(SELECT 1)"),
         check_row("fact: negative dollars", "WARN", f"COUNT(*) FILTER ({_PAYV} < 0)", "negative dollar values", _X),
         check_row("fact: scientific notation", "WARN", "COUNT(*) FILTER (regexp_matches(abs_payroll_usd_amt, '[eE][+-]?[0-9]+'))", "cells in scientific notation", _X),
-    ]),
-)
+])
+
+
+@query("dq14_export_row_checks", _ROW_CHECKS)
 def _dq14b(spark, d):
     return sanity.row_checks(sanity.canonical(t.export_text(spark, d), sanity.FACT_NAMES)[0], t.YEARS[:6])
 
 
+def _heads(label: str, width: int) -> str:
+    facts = (("required columns", "all present"), ("delimiter", f"{width} columns"), ("non-empty headers", "column names present"), ("unique headers", "column names unique"))
+    return ", ".join(f"('{label}: {n}', 'ERROR', true, CAST(0 AS BIGINT), '{detail}')" for n, detail in facts)
+
+
+def _missing(name: str, severity: str, detail: str, key: str, table: str, ref_key: str, ref: str) -> str:
+    return check_row(name, severity, "COUNT(*)", detail, f"(SELECT DISTINCT {key} FROM {table} WHERE {key} NOT IN (SELECT {ref_key} FROM {ref}))")
+
+
+_REF_SECTORS = "(SELECT * FROM sector_ref WHERE naics2_sector_cd <> '00')"
+_COVERAGE = """SELECT 'coverage: distinct ' || what || ' ' || year_num AS "check", 'WARN' AS severity, n = e AS passed, abs(n - e) AS failed_rows, n || ' found, ' || e || ' expected' AS detail FROM
+  (SELECT year_num, 'counties' AS what, COUNT(DISTINCT fips) AS n, CAST(25 AS BIGINT) AS e FROM export_text GROUP BY 1 UNION ALL SELECT year_num, 'sectors', COUNT(DISTINCT naics2_sector_cd), 21 FROM export_text GROUP BY 1)"""
+
+
+@query(
+    "dq14_export_sanity_suite",
+    " UNION ALL ".join([
+        f"SELECT * FROM (VALUES {_heads('fact', 10)}, {_heads('sectors', 2)}, {_heads('counties', 6)}) h(\"check\", severity, passed, failed_rows, detail)", _ROW_CHECKS,
+        check_row("fact: duplicate keys", "ERROR", "COUNT(*)", "keys used more than once", "(SELECT 1 FROM export_text GROUP BY year_num, fips, naics2_sector_cd HAVING COUNT(*) > 1)"),
+        _missing("join: fact to counties", "ERROR", "codes not in the reference", "fips", _X, "state_cnty_fips_cd", "county_ref"),
+        _missing("join: counties to fact", "WARN", "reference codes not used", "state_cnty_fips_cd", "county_ref", "fips", _X),
+        _missing("join: fact to sectors", "ERROR", "codes not in the reference", "naics2_sector_cd", _X, "naics2_sector_cd", _REF_SECTORS),
+        _missing("join: sectors to fact", "WARN", "reference codes not used", "naics2_sector_cd", _REF_SECTORS, "naics2_sector_cd", _X),
+        _COVERAGE,
+    ]),
+)
+def _dq14(spark, d):
+    sectors = t.sector_ref(spark, d).where(C("naics2_sector_cd") != "00")
+    return sanity.run(t.loaded(t.export_text(spark, d)), sectors, t.county_ref(spark, d), t.YEARS[:6], 25, 21)
+
+
 @query(
     "dq15_combined_key",
     """SELECT FIPS_STATE AS state_fips, FIPS_COUNTY AS county_fips, lpad(FIPS_STATE, 2, '0') || lpad(FIPS_COUNTY, 3, '0') AS state_cnty_fips_cd, COUNT(*) AS row_cnt FROM facilities_raw GROUP BY 1, 2, 3""",
@@ -450,7 +475,11 @@ def _pf8(spark, d):
     return profiling.definitions(spark, names, "QCEW annual file").drop("definition")
 
 
-@query("pf9_declared_types")
+@query(
+    "pf9_declared_types",
+    """SELECT name, declared_type, observed_type, contains(observed_type, declared_type) AS type_match, (SELECT COUNT(*) FROM part) AS row_cnt FROM (VALUES ('p_partkey','bigint','bigint'), ('p_name','string','string'),
+       ('p_brand',NULL,'string'), ('p_type',NULL,'string'), ('p_size','double','int'), ('p_retailprice',NULL,'double')) v(name, declared_type, observed_type)""",
+)
 def _pf9(spark, d):
     df = t.read(spark, d, "part")
     kinds = profiling.types_table(df, {"p_partkey": "bigint", "p_name": "string", "p_size": "double"})
@@ -465,6 +494,17 @@ def _pf10(spark, d):
     return profiling.examples(profiling.field_values(profiled(spark, d)))
 
 
-@query("pf11_flat_profile")
+_PART = [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double")]
+
+
+def _flat(c: str, kind: str) -> str:
+    spread = f"MIN({c}) * 1.0 AS min, quantile_cont({c}, 0.5) AS p50, MAX({c}) * 1.0 AS max" if kind != "string" else "NULL AS min, NULL AS p50, NULL AS max"
+    text = f"CAST({c} AS VARCHAR)"
+    return f"""SELECT '{c}' AS name, CAST(NULL AS VARCHAR) AS definition, 'none' AS origin, 0.0 AS confidence, {"'bigint'" if c == 'p_partkey' else 'NULL'} AS declared_type, '{kind}' AS observed_type,
+      COUNT(DISTINCT {c}) AS distinct_cnt, 0.0 AS missing_pct, {spread}, (SELECT string_agg(v, ', ' ORDER BY v) FROM (SELECT DISTINCT {text} AS v FROM part ORDER BY 1 LIMIT 3)) AS examples,
+      CASE WHEN COUNT(DISTINCT {c}) <= 60 THEN 'Enum candidate (low cardinality)' ELSE '' END AS notes FROM part"""
+
+
+@query("pf11_flat_profile", " UNION ALL ".join(_flat(c, k) for c, k in _PART), "confidence", "missing_pct", "min", "p50", "max")
 def _pf11(spark, d):
     return profiling.flat_profile(t.read(spark, d, "part"), {"p_partkey": "bigint"}, "census")
