@@ -126,8 +126,10 @@ def exact_quantiles(
     The built-in exact percentile keeps every distinct value of a group in one
     buffer. Here a sketch only brackets each wanted rank; values inside the brackets
     (a share of about 10/accuracy) are ranked exactly, everything below is merely
-    counted. ``name`` holds one value per column of the profiled table, so the
-    broadcast bracket table is bounded by the width of a schema.
+    counted. Measures of fewer than 10 x accuracy values are ranked whole, as one
+    bracket would cut off an interpolation neighbour there. ``name`` holds one value
+    per column of the profiled table, so the broadcast bracket table is bounded by
+    the width of a schema.
 
     Returns one row per measure: ``name, value_cnt, quantiles array<double>``.
     """
@@ -142,11 +144,12 @@ def exact_quantiles(
     )
     counts = rows.groupBy(name, "v").agg(F.count(F.lit(1)).alias("n"))
     placed = counts.join(F.broadcast(brackets), name)
+    whole = F.col("value_cnt") < 10 * accuracy
 
     below = placed.groupBy(name).agg(
         F.array(
             *[
-                sum_or_zero(F.when(F.col("v") < F.col("lo")[i], F.col("n")))
+                sum_or_zero(F.when(~whole & (F.col("v") < F.col("lo")[i]), F.col("n")))
                 for i in range(len(probs))
             ]
         ).alias("below")
@@ -156,7 +159,7 @@ def exact_quantiles(
             F.struct(
                 F.lit(i).alias("i"),
                 F.lit(p).alias("p"),
-                F.col("v").between(F.col("lo")[i], F.col("hi")[i]).alias("inside"),
+                (whole | F.col("v").between(F.col("lo")[i], F.col("hi")[i])).alias("inside"),
             )
             for i, p in enumerate(probs)
         ]
