@@ -76,10 +76,14 @@ def non_negative(df: DataFrame, measures: list[str], severity: str = ERROR) -> D
     )
 
 
-def fail_on_negative(df: DataFrame, measures: list[str], what: str) -> None:
-    bad = non_negative(df, measures).agg(F.sum("failed_rows").alias("n")).first()["n"]
-    if bad:
-        raise ValueError(f"{what}: {bad} negative values in {measures}")
+def require_non_negative(df: DataFrame, measures: list[str], what: str) -> DataFrame:
+    """Pass rows through; a negative value fails the job that reads them.
+
+    The check is a filter inside the plan, so it costs no second pass over the data.
+    """
+    bad = reduce(lambda a, b: a | b, [F.coalesce(F.col(m) < 0, F.lit(False)) for m in measures])
+    stop = F.raise_error(F.lit(f"{what}: negative value in {measures}")).cast("boolean")
+    return df.where(F.when(bad, stop).otherwise(F.lit(True)))
 
 
 def in_range(df: DataFrame, ranges: dict[str, tuple[float, float]]) -> DataFrame:

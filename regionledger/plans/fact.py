@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from regionledger import schemas as S
 from regionledger.functions import codes, exprs
-from regionledger.operators import columns, filters, joins, sets, windows
+from regionledger.operators import columns, filters, joins, quality, sets, windows
 from regionledger.plans import totals
 
 MEASURES = {
@@ -140,7 +140,10 @@ def statewide(survey: DataFrame, payroll: DataFrame, counties: DataFrame, sector
 
 
 def file_merge(survey: DataFrame, payroll: DataFrame, counties: DataFrame, years: list[int] | None = None) -> DataFrame:
-    """File-side merge: full outer, four ratios, population; county gaps filled."""
+    """File-side merge: full outer, four ratios, population; county gaps filled.
+
+    The duplicate-key gate belongs to the write (``writers.write_years``).
+    """
     if years is not None:
         survey, payroll = (d.where(F.col("year_num").isin(years)) for d in (survey, payroll))
     both = joins.full_outer(
@@ -162,12 +165,17 @@ def file_merge(survey: DataFrame, payroll: DataFrame, counties: DataFrame, years
 
 
 def survey_led(survey: DataFrame, payroll: DataFrame) -> DataFrame:
-    """Every survey row with its payroll measures; ratios need a positive denominator."""
+    """Every survey row with its payroll measures; ratios need a positive denominator.
+
+    A repeated payroll key or a negative measure fails the job.
+    """
     def per(num: str, den: str) -> Column:
         return exprs.positive_ratio(F.col(num).cast("double"), F.col(den).cast("double"))
 
     right = payroll.select(*S.FACT_KEY, *totals.PAYROLL_SUMS, "qcew_avg_wkly_wage_usd_amt")
-    return joins.lookup(survey, right, S.FACT_KEY).withColumns({
+    both = joins.many_to_one(survey, right, S.FACT_KEY)
+    both = quality.require_non_negative(both, totals.SURVEY_SUMS + totals.PAYROLL_SUMS, "survey-led merge")
+    return both.withColumns({
         "qcew_wage_per_emp_usd": per("qcew_ttl_ann_wage_usd_amt", "qcew_ann_avg_emp_lvl_num"),
         "abs_wage_per_emp_usd": per("abs_payroll_usd_amt", "abs_emp_num"),
         "abs_receipts_per_firm_usd": per("abs_rcpt_usd_amt", "abs_firm_num"),

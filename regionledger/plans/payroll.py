@@ -104,14 +104,17 @@ def total_ownership(raw: DataFrame, years: list[int] | None = None) -> DataFrame
     return out.drop("own_cd")
 
 
-def official_sectors(raw: DataFrame, years: list[int] | None = None, check: bool = True) -> DataFrame:
-    """Private rows, stricter code reading, weekly wage to cents, checked non-negative."""
+def official_sectors(raw: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """Private rows, stricter code reading, weekly wage to cents, no negative sums."""
     out = sectors(raw, years, sector=codes.sector_from_code_strict, digits=2)
-    if check:
-        quality.fail_on_negative(
-            out, ["qcew_ann_avg_emp_lvl_num", "qcew_ttl_ann_wage_usd_amt"], "payroll sectors"
-        )
-    return out
+    return quality.require_non_negative(
+        out, ["qcew_ann_avg_emp_lvl_num", "qcew_ttl_ann_wage_usd_amt"], "payroll sectors"
+    )
+
+
+def detailed_codes(raw: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """As the official table, from rows of every aggregation level."""
+    return sectors(raw, years, level=None, sector=codes.sector_from_code_strict, digits=2)
 
 
 def spot_check(raw: DataFrame, year: int, area: str, level: str | None = None) -> DataFrame:

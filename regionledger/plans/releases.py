@@ -120,15 +120,19 @@ def unresolved(coded: DataFrame) -> DataFrame:
     return scope.where(F.col("state_cnty_fips_cd").isNull()).select("state_cd", "cnty_nm").distinct()
 
 
-def intensity(totals: DataFrame, survey: DataFrame | None, payroll: DataFrame | None, check: bool = True) -> DataFrame:
-    """Releases with survey and payroll measures and pounds per employee and firm."""
-    others = [d.distinct() if d is not None else None for d in (survey, payroll)]
-    out = joins.chain(totals, others, KEY)
+def intensity(totals: DataFrame, survey: DataFrame | None, payroll: DataFrame | None) -> DataFrame:
+    """Releases with survey and payroll measures and pounds per employee and firm.
+
+    Repeated full rows of the other sources collapse; a key that still repeats
+    fails the job, so the result stays one row per release cell.
+    """
+    out = quality.require_non_negative(totals, ["tri_releases_lbs"], "release totals")
+    for other in (survey, payroll):
+        if other is not None:
+            out = joins.many_to_one(out, other.distinct(), KEY)
     pounds = F.col("tri_releases_lbs").cast("double")
     if payroll is not None:
         out = out.withColumn("tri_lbs_per_emp", exprs.positive_ratio(pounds, F.col("qcew_emp").cast("double")))
     if survey is not None:
         out = out.withColumn("tri_lbs_per_firm", exprs.positive_ratio(pounds, F.col("abs_firms").cast("double")))
-    if check:
-        quality.fail_on_duplicates(out, KEY, "release intensity")
     return out

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regionledger.functions import codes, exprs
 from regionledger.operators import columns, joins, quality, sets
 from regionledger.operators.quality import ERROR, WARN, Check
+from regionledger.sources import readers
 from regionledger.sources.literals import literal
 
 # Accepted export names per canonical column, best first.
@@ -38,6 +40,7 @@ SURVEY = ["abs_firms", "abs_emp", "abs_payroll_usd_amt", "abs_rcpt_usd_amt"]
 COUNTS = ["abs_firms", "abs_emp", "qcew_emp"]
 DOLLARS = ["abs_payroll_usd_amt", "abs_rcpt_usd_amt", "qcew_wages_usd", "qcew_avg_weekly_wage_usd"]
 KEY = ["year_num", "state_cnty_fips_cd", "naics2_sector_cd"]
+CHECK_DDL = "check string, severity string, passed boolean, failed_rows bigint, detail string"
 
 
 def canonical(df: DataFrame, names: dict[str, list[str]]) -> tuple[DataFrame, list[str]]:
@@ -45,6 +48,31 @@ def canonical(df: DataFrame, names: dict[str, list[str]]) -> tuple[DataFrame, li
     return df.select([columns.quoted(src).alias(dst) for dst, src in found.items()]), missing
 
 
+def load_checked(spark: SparkSession, path: str, label: str) -> tuple[DataFrame | None, DataFrame]:
+    """Export file and its file-level checks; no frame when it is missing or empty.
+
+    A row with more cells than the header is a malformed row. Reading one column
+    more than the header has makes exactly those rows show a value there.
+    """
+    def rows(*facts: tuple) -> DataFrame:
+        return literal(spark, [(f"{label}: {n}", ERROR, bad == 0, bad, d) for n, bad, d in facts], CHECK_DDL)
+
+    try:
+        df = readers.csv_text(spark, path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None, rows(("file exists", 1, "no such file"))
+    if not df.columns:
+        return None, rows(("file exists", 0, "found"), ("file non-empty", 1, "no header"))
+    wide = readers.text_schema([f"c{i}" for i in range(len(df.columns))] + ["overflow"])
+    cells = spark.read.schema(wide).option("header", True).option("escape", '"').option("enforceSchema", True).csv(path)
+    parsed = quality.run_checks(
+        cells, [Check(f"{label}: rows parse cleanly", ERROR, F.count("overflow"), "rows with more cells than the header")]
+    )
+    return df, rows(("file exists", 0, "found"), ("file non-empty", 0, "header read")).unionByName(parsed)
+
+
 def header_checks(label: str, df: DataFrame, missing: list[str]) -> list[tuple]:
     """Checks that need the header only; they read no rows."""
     names = df.columns
@@ -123,7 +151,7 @@ def run(
         header_checks("fact", fact, fact_missing) + header_checks("sectors", sectors, sector_missing)
         + header_checks("counties", counties, county_missing)
     )
-    parts = [literal(spark, heads, "check string, severity string, passed boolean, failed_rows bigint, detail string")]
+    parts = [literal(spark, heads, CHECK_DDL)]
     if not (fact_missing or sector_missing or county_missing):
         parts += [
             row_checks(f, expected_years), key_check(f),

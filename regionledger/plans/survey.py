@@ -23,6 +23,13 @@ SYNONYMS = {
 }
 
 
+def sector_field(year: int) -> str:
+    """Name of the industry field in a year's payload; county data begin in 2022."""
+    if year < 2022:
+        raise ValueError(f"county survey data begin in 2022, not {year}")
+    return "NAICS2022" if year in (2022, 2023) else f"NAICS{year}"
+
+
 def private_employers(raw: DataFrame, sector: str = "NAICS2022") -> DataFrame:
     return filters.without_public_administration(filters.employers(raw, "FIRMPDEMP"), sector)
 
@@ -56,8 +63,8 @@ def table(raw: DataFrame) -> DataFrame:
     return normalise(private_employers(raw))
 
 
-def one_state(raw: DataFrame, state: str, year: int | None = None, check: bool = True) -> DataFrame:
-    """County x two-digit totals of one state, unique and non-negative."""
+def one_state(raw: DataFrame, state: str, year: int | None = None) -> DataFrame:
+    """County x two-digit totals of one state; a negative total fails the job."""
     df = columns.rename_synonyms(raw, SYNONYMS, ("year",))
     df = df.withColumn("state", codes.zfill_digits(F.col("state"), 2)).where(F.col("state") == state)
     keys = ["state", "county", "naics2"]
@@ -74,11 +81,9 @@ def one_state(raw: DataFrame, state: str, year: int | None = None, check: bool =
         total("FIRMPDEMP", 1).alias("abs_firms"), total("EMP", 1).alias("abs_emp"),
         total("PAYANN", 1000).alias("abs_payroll_usd"), total("RCPPDEMP", 1000).alias("abs_receipts_usd"),
     )
-    if check:
-        quality.fail_on_negative(
-            out, ["abs_firms", "abs_emp", "abs_payroll_usd", "abs_receipts_usd"], "survey state table"
-        )
-    return out
+    return quality.require_non_negative(
+        out, ["abs_firms", "abs_emp", "abs_payroll_usd", "abs_receipts_usd"], "survey state table"
+    )
 
 
 def derived_metrics(df: DataFrame, rounded: bool = False) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from regionledger.operators import columns
@@ -49,10 +50,30 @@ def csv_columns(spark: SparkSession, path: str, wanted: list[str]) -> DataFrame:
     return df.select([columns.quoted(c) for c in df.columns if c in set(wanted)])
 
 
-def csv_per_year(spark: SparkSession, template: str, years: list[int], single: str | None = None) -> DataFrame:
-    """One file per year from a ``{year}`` template, each tagged with its year."""
-    paths = {y: single if single and len(years) == 1 else template.format(year=y) for y in years}
-    frames = [csv_text(spark, p).withColumn("file_year", F.lit(y)) for y, p in paths.items()]
+def csv_first_found(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """CSV text from the first path that exists; none is an error."""
+    for path in paths:
+        try:
+            return csv_text(spark, path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+    raise FileNotFoundError(f"none of {paths} exists")
+
+
+def csv_per_year(
+    spark: SparkSession, template: str, years: list[int], single: str | None = None, fallback: str | None = None
+) -> DataFrame:
+    """One file per year from a ``{year}`` template, each tagged with its year.
+
+    ``single`` replaces the template for a one-year run; ``fallback`` is a second
+    template tried where the first has no file.
+    """
+    frames = []
+    for y in years:
+        first = single if single and len(years) == 1 else template.format(year=y)
+        paths = [first] + ([fallback.format(year=y)] if fallback else [])
+        frames.append(csv_first_found(spark, paths).withColumn("file_year", F.lit(y)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regionledger.operators import quality
+from regionledger.sources import scratch
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -14,9 +15,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_years(df: DataFrame, path: str, keys: list[str]) -> None:
-    """All years in one table, one directory per year; a repeated key stops the write."""
-    quality.fail_on_duplicates(df, keys, "stacked output")
-    df.write.mode("overwrite").partitionBy("year_num").parquet(path)
+    """All years in one table, one directory per year; a repeated key stops the write.
+
+    The rows are staged once; the key check and the write both read the staged copy
+    instead of deriving the table twice.
+    """
+    staged = scratch.materialise(df)
+    quality.fail_on_duplicates(staged, keys, "stacked output")
+    staged.write.mode("overwrite").partitionBy("year_num").parquet(path)
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:

@@ -122,8 +122,9 @@ def test_gates(spark):
     df = spark.createDataFrame([(1, -1.0), (1, 2.0)], "k int, v double")
     with pytest.raises(ValueError, match="1 rows repeat"):
         quality.fail_on_duplicates(df, ["k"], "t")
-    with pytest.raises(ValueError, match="1 negative"):
-        quality.fail_on_negative(df, ["v"], "t")
+    with pytest.raises(Exception, match="negative value"):
+        quality.require_non_negative(df, ["v"], "t").collect()
+    assert quality.require_non_negative(df, ["k"], "t").count() == 2
     quality.fail_on_duplicates(df, ["k", "v"], "t")
 
 

@@ -226,3 +226,28 @@ def test_sanity_stops_at_missing_columns(spark):
     assert not rows["fact: required columns"]["passed"] and not rows["fact: delimiter"]["passed"]
     verdict = {r["severity"]: r for r in quality.verdict(checks).collect()}
     assert verdict["ERROR"]["acceptable"] is False
+
+
+def test_load_checked(spark, tmp_path):
+    missing, checks = sanity.load_checked(spark, str(tmp_path / "none.csv"), "fact")
+    assert missing is None and [r["passed"] for r in checks.collect()] == [False]
+    path = tmp_path / "f.csv"
+    path.write_text("a,b\n1,2\n1,2,3\n4\n")
+    df, checks = sanity.load_checked(spark, str(path), "fact")
+    rows = {r["check"]: r["failed_rows"] for r in checks.collect()}
+    assert df.columns == ["a", "b"] and rows["fact: rows parse cleanly"] == 1
+
+
+def test_year_files_fall_back(spark, tmp_path):
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "2022.csv").write_text("x\n007\n")
+    df = readers.csv_per_year(spark, str(tmp_path / "a/{year}.csv"), [2022], fallback=str(tmp_path / "b/{year}.csv"))
+    assert [tuple(r) for r in df.collect()] == [("007", 2022)]
+    with pytest.raises(FileNotFoundError):
+        readers.csv_per_year(spark, str(tmp_path / "a/{year}.csv"), [2022])
+
+
+def test_sector_field_by_year():
+    assert (survey.sector_field(2023), survey.sector_field(2027)) == ("NAICS2022", "NAICS2027")
+    with pytest.raises(ValueError):
+        survey.sector_field(2021)
