@@ -45,6 +45,7 @@ SURVEY_DEFINITIONS = {
     "PAYANN": "Annual payroll (USD).",
     "RCPPDEMP": "Receipts or revenue per paid employees (context-specific ABS metric).",
 }
+# Name patterns tried in order where no preset matches.
 NAME_PATTERNS = [
     ("naics", "NAICS industry classification code."),
     ("fips", "FIPS geographic code."),

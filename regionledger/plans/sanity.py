@@ -40,6 +40,10 @@ SURVEY = ["abs_firms", "abs_emp", "abs_payroll_usd_amt", "abs_rcpt_usd_amt"]
 COUNTS = ["abs_firms", "abs_emp", "qcew_emp"]
 DOLLARS = ["abs_payroll_usd_amt", "abs_rcpt_usd_amt", "qcew_wages_usd", "qcew_avg_weekly_wage_usd"]
 KEY = ["year_num", "state_cnty_fips_cd", "naics2_sector_cd"]
+# What a complete export holds.
+EXPECTED_YEARS = [2022, 2023]
+EXPECTED_COUNTIES = 3283
+EXPECTED_SECTORS = 20
 CHECK_DDL = "check string, severity string, passed boolean, failed_rows bigint, detail string"
 
 
@@ -137,8 +141,8 @@ def coverage_checks(fact: DataFrame, counties: int, sectors: int) -> DataFrame:
 
 
 def run(
-    fact: DataFrame, sectors: DataFrame, counties: DataFrame, expected_years: list[int],
-    expected_counties: int, expected_sectors: int,
+    fact: DataFrame, sectors: DataFrame, counties: DataFrame, expected_years: list[int] = EXPECTED_YEARS,
+    expected_counties: int = EXPECTED_COUNTIES, expected_sectors: int = EXPECTED_SECTORS,
 ) -> DataFrame:
     """All checks as rows; the caller writes them or asks :func:`quality.verdict`."""
     spark = fact.sparkSession

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from regionledger import schemas as S
 from regionledger.functions import exprs
 from regionledger.operators import aggregates, ordering, profiling, quality, sets, windows
-from regionledger.plans import payroll, reconcile, sanity, totals
+from regionledger.plans import fact_checks, payroll, reconcile, sanity, totals
 from regionledger.registry import tables as t
 from regionledger.registry.combining import both_cells
 from regionledger.registry.core import query
@@ -139,6 +139,30 @@ def _dq9b(spark, d):
     return ordering.top_k_abs(z, "z", S.FACT_KEY, 20)
 
 
+_SUITE_RANGES = {"abs_wage_per_emp_usd": (1500, 3500), "qcew_wage_per_emp_usd": (1300, 1600), "abs_rcpt_per_firm_usd": (0, 90000)}
+_SUITE_VALUES = """(SELECT abs_payroll_usd_amt / NULLIF(abs_emp_num, 0) AS abs_wage_per_emp_usd, qcew_ttl_ann_wage_usd_amt / NULLIF(qcew_ann_avg_emp_lvl_num, 0) AS qcew_wage_per_emp_usd,
+  abs_rcpt_usd_amt / NULLIF(abs_firm_num, 0) AS abs_rcpt_per_firm_usd, qcew_avg_wkly_wage_usd_amt AS w FROM cells)"""
+
+
+@query(
+    "dq9_fact_check_suite",
+    " UNION ALL ".join([
+        check_row("county codes known", "ERROR", "COUNT(*)", "malformed or unknown county codes", "cells WHERE naics2_sector_cd <> '99' AND state_cnty_fips_cd NOT IN (SELECT state_cnty_fips_cd FROM county_ref)"),
+        check_row("sectors known", "ERROR", "COUNT(*)", "sectors outside the reference", "cells WHERE naics2_sector_cd NOT IN (SELECT naics2_sector_cd FROM sector_ref)"),
+        check_row("years without gaps", "ERROR", "MAX(year_num) - MIN(year_num) + 1 - COUNT(DISTINCT year_num)", "years missing inside the range", "cells"),
+        check_row("unique fact key", "ERROR", "COUNT(*) - COUNT(DISTINCT (year_num, state_cnty_fips_cd, naics2_sector_cd))", "rows beyond the first of their key", "cells"),
+        *[check_row(f"non-negative {m}", "ERROR", f"COUNT(*) FILTER ({m} < 0)", "rows below zero", "cells") for m in fact_checks.MEASURES],
+        *[check_row(f"range {m}", "WARN", f"COUNT(*) FILTER ({m} < {lo} OR {m} > {hi})", f"rows outside {lo} to {hi}", _SUITE_VALUES) for m, (lo, hi) in _SUITE_RANGES.items()],
+        check_row("survey to payroll wage ratio", "WARN", "COUNT(*) FILTER (abs_wage_per_emp_usd / qcew_wage_per_emp_usd < 0.2 OR abs_wage_per_emp_usd / qcew_wage_per_emp_usd > 5)", "rows with a ratio outside 0.2 to 5", _SUITE_VALUES),
+        check_row("weekly wage agrees", "WARN", "COUNT(*) FILTER (abs(w - qcew_wage_per_emp_usd / 52) / (qcew_wage_per_emp_usd / 52) > 0.1)", "rows more than 10 percent off", _SUITE_VALUES),
+    ]),
+)
+def _dq9c(spark, d):
+    weekly = exprs.safe_ratio(C("qcew_ttl_ann_wage_usd_amt"), (C("qcew_ann_avg_emp_lvl_num") * 52).cast("decimal(20,0)"))
+    cells = t.loaded(both_cells(spark, d).withColumn("qcew_avg_wkly_wage_usd_amt", weekly))
+    return fact_checks.run(cells, t.county_ref(spark, d), t.sector_ref(spark, d), _SUITE_RANGES)
+
+
 # --- reconciliation --------------------------------------------------------------------------
 
 _SRC_SURVEY = f"""SELECT CAST(year_num AS INTEGER) AS year_num, lpad(state, 2, '0') || lpad(county, 3, '0') AS state_cnty_fips_cd, trim(NAICS2022) AS naics2_sector_cd,

@@ -5,11 +5,14 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from regionledger.operators import columns
 
 
+UNQUOTED_TAB = '\t(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
 def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -112,8 +115,10 @@ def ragged_tsv(spark: SparkSession, path: str, header_keyword: str) -> tuple[Dat
         names = names[:-1]
     width = len(names)
     body = lines.where(~F.contains("value", F.lit(header_keyword)))
-    odd = F.regexp_count("value", F.lit('"')) % 2 == 1
-    fields = F.split("value", "\t")
+    unescaped = F.regexp_replace("value", r"\\.", "")
+    odd = F.regexp_count(unescaped, F.lit('"')) % 2 == 1
+    # Only lines with quotes pay for the split that skips tabs inside them.
+    fields = F.when(F.contains("value", F.lit('"')), F.split("value", UNQUOTED_TAB)).otherwise(F.split("value", "\t"))
     sized = (
         F.when(F.size("f") < width, F.concat("f", F.array_repeat(F.lit(""), F.lit(width) - F.size("f"))))
         .when(
@@ -125,7 +130,11 @@ def ragged_tsv(spark: SparkSession, path: str, header_keyword: str) -> tuple[Dat
         )
         .otherwise(F.col("f"))
     )
-    cell = lambda i: F.regexp_replace(F.col("g")[i], '^"(.*)"$', "$1")
+
+    def cell(i: int) -> Column:
+        inner = F.regexp_replace(F.col("g")[i], '^"(.*)"$', "$1")
+        return F.regexp_replace(F.regexp_replace(inner, '""', '"'), r"\\(.)", "$1")
+
     rows = (
         body.where(~odd).select(fields.alias("f")).select(sized.alias("g"))
         .select([cell(i).alias(n) for i, n in enumerate(names) if n and not n.startswith("Unnamed:")])

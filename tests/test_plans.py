@@ -112,13 +112,13 @@ def test_metro_missing_side_is_ok_and_named(spark):
 
 def test_ragged_file(spark, tmp_path):
     (tmp_path / "r.txt").write_text(
-        "﻿1. FACILITY STATE\tB\tC\t20240101\nCA\tx\ty\nNV\nOR\t1\t2\t3\n\"A\"\t\"b c\"\td\nTX\t\"open\nTotal output lines: 5\n",
+        "﻿1. FACILITY STATE\tB\tC\t20240101\nCA\tx\ty\nNV\nOR\t1\t2\t3\n\"A\"\t\"b\tc \"\"q\"\"\"\td\\e\nTX\t\"open\nTotal output lines: 5\n",
         encoding="utf-8",
     )
     rows, rejected = readers.ragged_tsv(spark, str(tmp_path), "FACILITY STATE")
     assert rows.columns == ["1. FACILITY STATE", "B", "C"]
     got = sorted(tuple(r) for r in rows.collect())
-    assert got == [("A", "b c", "d"), ("CA", "x", "y"), ("NV", "", ""), ("OR", "1", "2\t3")]
+    assert got == [("A", 'b\tc "q"', "de"), ("CA", "x", "y"), ("NV", "", ""), ("OR", "1", "2\t3")]
     assert [r[0] for r in rejected.collect()] == ['TX\t"open']
 
 
