@@ -44,7 +44,8 @@ def concentration(share_column: str, keys: list[str]) -> Column:
 
 
 def rank_desc(measure: str, keys: list[str]) -> Column:
-    return F.rank().over(Window.partitionBy(*keys).orderBy(F.desc_nulls_last(measure)))
+    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(measure))
+    return F.rank().over(order).cast("bigint")
 
 
 def top_per_group(df: DataFrame, group: str, measure: str, tie: list[str], n: int) -> DataFrame:

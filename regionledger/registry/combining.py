@@ -81,11 +81,11 @@ def _jn6(spark, d):
 
 @query(
     "jn7_qualifying_groups",
-    "SELECT year_num, state_cnty_fips_cd, naics2_sector_cd, abs_firm_num FROM survey_cells WHERE state_cnty_fips_cd IN (SELECT state_cnty_fips_cd FROM survey_cells GROUP BY 1 HAVING MAX(abs_firm_num) >= 18)",
+    "SELECT year_num, state_cnty_fips_cd, naics2_sector_cd, abs_firm_num FROM survey_cells WHERE state_cnty_fips_cd IN (SELECT state_cnty_fips_cd FROM survey_cells GROUP BY 1 HAVING MAX(abs_firm_num) >= 30)",
 )
 def _jn7(spark, d):
     df = t.survey_cells(spark, d).select(*S.FACT_KEY, "abs_firm_num")
-    return joins.qualifying(df, aggregates.groups_at_least(df, ["state_cnty_fips_cd"], "abs_firm_num", 18), ["state_cnty_fips_cd"])
+    return joins.qualifying(df, aggregates.groups_at_least(df, ["state_cnty_fips_cd"], "abs_firm_num", 30), ["state_cnty_fips_cd"])
 
 
 @query(
