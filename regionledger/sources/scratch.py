@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 @functools.cache
@@ -16,14 +17,26 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="regionledger-")
 
 
-def folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def root(spark: SparkSession) -> str:
+    """The folder all executors share.
 
-    Only a session without that setting (a laptop, a test) falls back to a local
-    temporary folder.
+    That is the cluster's checkpoint folder, or else a warehouse folder that was set. A
+    session that runs in one process (a laptop, a test) may use a temporary folder; any
+    other session without a shared folder is refused, since each executor would write to
+    its own disk and the read back would miss rows without an error.
     """
-    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    return f"{(root or _local_root()).rstrip('/')}/regionledger/{uuid.uuid4().hex}"
+    conf = spark.sparkContext.getConf()
+    shared = spark.conf.get(_SETTING, None) or conf.get(_SETTING) or conf.get(_WAREHOUSE)
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError(f"set {_SETTING} to a folder that driver and executors share")
+    return _local_root()
+
+
+def folder(spark: SparkSession) -> str:
+    """A fresh folder below the shared root."""
+    return f"{root(spark)}/regionledger/{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -32,3 +45,13 @@ def materialise(df: DataFrame) -> DataFrame:
     path = folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Remove every working folder of this library below the shared root.
+
+    For the end of a job, once its results are written elsewhere; frames that still read
+    a working table fail afterwards.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root(spark)}/regionledger")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
