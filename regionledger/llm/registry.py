@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionledger.llm import mixing, quality, secrets, sharding
+from regionledger.llm import mixing, quality, secrets, sharding, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat passages of earlier ones are removed."""
+    return substring.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document under the learned list."""
