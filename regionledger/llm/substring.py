@@ -31,18 +31,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regionledger.llm import words
+from regionledger.llm import sketch, words
 from regionledger.sources import scratch
 
 WINDOW = 50
 MAX_CELLS = 1 << 28
-#: Cells of a slice of the sketch: what one merging step holds in memory, in bytes.
-SLICE = 1 << 20
-DEPTH = 2
 #: Candidate windows a task gathers before it settles and sends them.
 GATHER = 2_000_000
 _RUNS = "anchor long, doc_id long, fp long, start int, n int, prints binary"
@@ -70,61 +66,19 @@ def _anchored(w: words.Words, k: int):
     return at, text, anchor, np.flatnonzero(new)
 
 
-def _cells(anchor: np.ndarray, row: int, cells: int) -> np.ndarray:
-    return words.mix(anchor, row + 2) & np.uint64(cells - 1)
+def _items(k: int):
+    """The anchors of a chunk, once per text."""
 
+    def of(w: words.Words) -> np.ndarray:
+        _, text, anchor, runs = _anchored(w, k)
+        text, anchor = text[runs], anchor[runs]
+        order = np.lexsort((anchor, text))
+        text, anchor = text[order], anchor[order]
+        first = np.ones(len(text), bool)
+        first[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+        return anchor[first]
 
-def sketch(texts: DataFrame, k: int, cells: int) -> list[np.ndarray]:
-    """Bit per cell and row: whether two documents or more fell into it."""
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(1)
-        for batch in batches:
-            for _, _, w in words.chunks(batch.column("text")):
-                _, text, anchor, runs = _anchored(w, k)
-                text, anchor = text[runs], anchor[runs]
-                order = np.lexsort((anchor, text))
-                text, anchor = text[order], anchor[order]
-                first = np.ones(len(text), bool)
-                first[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
-                anchor = anchor[first]
-                out: dict[str, list] = {"row": [], "slice": [], "blob": []}
-                for row in range(DEPTH):
-                    cell = np.sort(_cells(anchor, row, cells)).astype(np.int64)
-                    edges = np.searchsorted(cell, np.arange(0, max(cells, SLICE) + 1, SLICE))
-                    for s in np.flatnonzero(np.diff(edges)):
-                        part = cell[edges[s] : edges[s + 1]] - s * SLICE
-                        steps = np.diff(part, prepend=0).astype(np.uint32)
-                        out["row"].append(row)
-                        out["slice"].append(int(s))
-                        out["blob"].append(pack.compress(steps.tobytes()))
-                yield pa.RecordBatch.from_pydict(out, pa.schema([("row", pa.int32()), ("slice", pa.int32()), ("blob", pa.binary())]))
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        sums: dict[tuple[int, int], np.ndarray] = {}
-        size = min(SLICE, cells)
-        for batch in batches:
-            for row, s, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                have = sums.setdefault((row, s), np.zeros(size, np.uint8))
-                at = np.cumsum(np.frombuffer(unpack.decompress(blob), np.uint32))
-                new = np.minimum(np.bincount(at, minlength=size), 2).astype(np.uint8)
-                np.minimum(have + new, 2, out=have)
-        yield pa.RecordBatch.from_pydict(
-            {"row": [r for r, _ in sums], "slice": [s for _, s in sums], "bits": [np.packbits(v >= 2, bitorder="little").tobytes() for v in sums.values()]},
-            pa.schema([("row", pa.int32()), ("slice", pa.int32()), ("bits", pa.binary())]),
-        )
-
-    parts = (
-        texts.select("text").mapInArrow(listed, "row int, slice int, blob binary")
-        .repartition("row", "slice").mapInArrow(merged, "row int, slice int, bits binary")
-    )
-    out = [np.zeros((cells + 7) // 8, np.uint8) for _ in range(DEPTH)]
-    width = min(SLICE, cells) // 8
-    # Bounded: DEPTH * max_cells bits in all.
-    for r in parts.toLocalIterator():
-        out[r["row"]][r["slice"] * width : r["slice"] * width + width] = np.frombuffer(r["bits"], np.uint8)
-    return out
+    return of
 
 
 def _settle(h: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -181,10 +135,7 @@ def _candidates(bits, k: int, cells: int):
                 at, text, anchor, runs = _anchored(w, k)
                 if not len(at):
                     continue
-                often = np.ones(len(runs), bool)
-                for row in range(DEPTH):
-                    c = _cells(anchor[runs], row, cells)
-                    often &= (rows[row][c >> np.uint64(3)] >> (c & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                often = sketch.holds(rows, anchor[runs], cells)
                 size = np.diff(np.append(runs, len(at)))
                 m = np.repeat(often, size)
                 run = np.repeat(np.arange(len(runs)), size)[m] + serial
@@ -274,9 +225,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int =
     t = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("fp"))
     known = t.where(F.col("doc_id").isNotNull())
     size = known.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    # About an anchor for every 13 words; four cells for each.
-    cells = 1 << max(16, min(int(max_cells).bit_length() - 1, int(size // 22).bit_length()))
-    bits = spark.sparkContext.broadcast(sketch(known, k, cells))
+    # About an anchor for every 13 words.
+    cells = sketch.cells_for(size / 88, max_cells)
+    bits = spark.sparkContext.broadcast(sketch.twice(known, _items(k), cells))
     runs = known.mapInArrow(_candidates(bits, k, cells), _RUNS)
     # Rows that are settled already are dealt by document, not to one task.
     meet = F.coalesce("anchor", F.xxhash64("doc_id", "start"))
