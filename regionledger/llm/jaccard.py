@@ -138,7 +138,7 @@ def _levels(parts: DataFrame, counters: int) -> tuple[np.ndarray, float]:
     out = np.zeros(sketch.DEPTH * counters, np.uint8)
     total = used = 0.0
     # Bounded: DEPTH * counters bytes.
-    for r in parts.repartition("part").mapInArrow(merged, schema).toLocalIterator():
+    for r in parts.repartition("part").mapInArrow(merged, schema).collect():
         x = np.frombuffer(r["levels"], np.uint8)
         out[r["part"] : r["part"] + len(x)] = x
         total, used = total + r["total"], used + r["used"]

@@ -64,7 +64,7 @@ def bits(lists: DataFrame, cells: int, least: int) -> list[np.ndarray]:
         }, _SCHEMA)
 
     out = [np.zeros((cells + 7) // 8, np.uint8) for _ in range(DEPTH)]
-    for r in lists.repartition("row", "slice").mapInArrow(merged, LISTED).toLocalIterator():
+    for r in lists.repartition("row", "slice").mapInArrow(merged, LISTED).collect():
         out[r["row"]][r["slice"] * size // 8 : (r["slice"] + 1) * size // 8] = np.frombuffer(r["blob"], np.uint8)
     return out
 
