@@ -27,6 +27,13 @@ from regionledger.sources import scratch
 #: Lengths of the key prefixes at which tokens are summed: block, twice finer, whole key.
 _LEVELS = (8, 12, 16, 20)
 STEPS = 60
+#: Tables of up to so many sources, by count, are sent to every task; larger ones are joined by shuffle.
+FEW_SOURCES = 50_000
+
+
+def _small(sources: DataFrame) -> DataFrame:
+    """The table, to be broadcast if its size allows, so that a hot source stays spread out."""
+    return F.broadcast(sources) if sources.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES else sources
 
 
 def tokens(text: Column) -> Column:
@@ -105,10 +112,11 @@ def cuts(docs: DataFrame, plan: DataFrame) -> DataFrame:
     `docs` holds src, key and tokens. Each level sums tokens per key prefix inside the
     prefix found before: at most 2^32 prefixes of which one is opened per source.
     """
+    few = plan.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
     open_ = plan.where("rest > 0").select("src", "rest", F.lit("").alias("prefix"))
     for n in _LEVELS:
         sums = (
-            docs.join(open_, "src").where(F.startswith(F.col("key"), F.col("prefix")))
+            docs.join(F.broadcast(open_) if few else open_, "src").where(F.startswith(F.col("key"), F.col("prefix")))
             .groupBy("src", "rest", F.substr("key", F.lit(1), F.lit(n)).alias("part")).agg(F.sum("tokens").alias("t"))
         )
         order = Window.partitionBy("src").orderBy("part")
@@ -137,10 +145,9 @@ def mix(
     plan = scratch.materialise(weights(small, budget, target_entropy, repetition_limit))
     found = scratch.materialise(cuts(small, plan))
     rows = docs.select(F.struct(*keep).alias("row"), src.alias("src"), k.alias("key"))
-    # One row per source; Spark broadcasts it if it is small enough.
     passes = F.col("whole") + F.when(F.col("key") <= F.col("cut"), 1).otherwise(0)
     return (
-        rows.join(found, "src").withColumn("passes", passes).where("passes > 0")
+        rows.join(_small(found), "src").withColumn("passes", passes).where("passes > 0")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.col("passes") - 1).cast("int"))))
         .select("row.*", "epoch", F.substr("key", F.lit(1), F.lit(8)).alias("block"))
     )

@@ -132,3 +132,8 @@ def chunks(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Iterator[
         part = data[offsets[at] : offsets[to]]
         yield at, to, Words(part, offsets[at : to + 1] - offsets[at], lower)
         at = to
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z in lower case."""
+    return _LOWER[data]
