@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionledger.llm import jaccard, mixing, quality, secrets, sharding, substring, toxicity
+from regionledger.llm import jaccard, mixing, quality, secrets, sharding, substring, templates, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that it leaks, values changed or not."""
+    docs = table(spark, sf_dir, "documents")
+    found = templates.matches(docs, table(spark, sf_dir, "benchmark"))
+    return templates.mark(docs, found, keep=["doc_id"]).select(
+        "doc_id", (F.size("items") > 0).alias("contaminated"), F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("item_ids"), "copied"
+    )
+
+
 @query
 def op6_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document under the model fitted to the training part of the labels."""

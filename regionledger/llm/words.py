@@ -75,24 +75,33 @@ class Words:
         values = (_LOWER[data] if lower else data).astype(np.uint64) + np.uint64(1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(values * up[: len(data)], out=sums[1:])
-        size = (self.ends - self.starts).astype(np.uint64)
-        raw = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-        self.hashes = mix(raw ^ (size * np.uint64(0xD6E8FEB86659FD93)))
+        self._sums, self._down = sums, down
+        self.hashes = self.prints(self.starts, self.ends)
+
+    def prints(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Fingerprints of the bytes from `starts` to `ends`."""
+        size = (ends - starts).astype(np.uint64)
+        raw = (self._sums[ends] - self._sums[starts]) * self._down[starts]
+        return mix(raw ^ (size * np.uint64(0xD6E8FEB86659FD93)))
 
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def sequences(self, k: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """Fingerprint of the k words from each word on, and whether they are in one text."""
-        n = len(self.hashes)
+    def sequences(self, k: int, seed: int = 0, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Fingerprint of the k words from each word on, and whether they are in one text.
+
+        `hashes` stand in for the words' own.
+        """
+        hashes = self.hashes if hashes is None else hashes
+        n = len(hashes)
         out = np.zeros(n, np.uint64)
         m = n - k + 1
         ok = np.zeros(n, bool)
         if m <= 0:
             return out, ok
         up, down = _WORDS.upto(n + 1)
-        h = mix(self.hashes, seed) if seed else self.hashes
+        h = mix(hashes, seed) if seed else hashes
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(h * up[:n], out=sums[1:])
         out[:m] = mix((sums[k:] - sums[:-k]) * down[:m] + np.uint64(k), seed)
