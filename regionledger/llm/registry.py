@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionledger.llm import jaccard, mixing, quality, secrets, sharding, substring, templates, toxicity
+from regionledger.llm import jaccard, mixing, quality, secrets, sharding, substring, templates, tokens, toxicity
+from regionledger.sources import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +38,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted by a scan of flat token files made of the table."""
+    path = f"{scratch.folder(spark)}/tokens"
+    tokens.write(table(spark, sf_dir, "documents"), path)
+    return tokens.count(spark, path).select("doc_id", "n_tokens", "closed")
+
+
+ORACLE["op2_token_counts"] = r"""
+SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens, true AS closed
+FROM documents
+"""
+
+
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat passages of earlier ones are removed."""
