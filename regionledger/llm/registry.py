@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionledger.llm import jaccard, mixing, quality, secrets, sharding, substring, templates, tokens, toxicity
+from regionledger.llm import jaccard, mixing, pii, quality, secrets, sharding, substring, templates, tokens, toxicity
 from regionledger.sources import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,18 +24,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _listed(spans: Column, kinds: list[str] | tuple[str, ...]) -> Column:
+    """kind:start:end of an array of spans, joined by commas."""
+    name = lambda k: F.element_at(F.array(*[F.lit(x) for x in kinds]), k + 1)
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", name(x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def _digest(found: DataFrame, kinds: list[str] | tuple[str, ...], base: int) -> DataFrame:
+    """Counts and digest of the first `base` kinds, and all spans, of a table (doc_id, found)."""
+    of = lambda k: F.filter("found", lambda x: x["kind"] == k)
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{kinds[k]}") for k in range(base)],
+        F.sha2(_listed(F.filter("found", lambda x: x["kind"] < base), kinds), 256).alias("base_sha256"), _listed(F.col("found"), kinds).alias("spans"),
+    )
+
+
 @query
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and linked secret spans of every document."""
-    found = secrets.scan(table(spark, sf_dir, "documents"))
-    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(
-        ":", F.element_at(F.array(*[F.lit(k) for k in secrets.KINDS]), x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string")
-    )), ",")
-    count = lambda k: F.size(F.filter("found", lambda x: x["kind"] == k)).cast("long")
-    return found.select(
-        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.sha2(joined(F.filter("found", lambda x: x["kind"] < 3)), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"),
-    )
+    return _digest(secrets.scan(table(spark, sf_dir, "documents")), secrets.KINDS, 3)
 
 
 @query
@@ -60,6 +67,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_semi_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of personal data of every document, and those of the semi-Markov field."""
+    docs = table(spark, sf_dir, "documents")
+    return _digest(pii.scan(docs, pii.fit(docs)), pii.KINDS, len(pii.BASE))
+
+
 @query
 def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items that it leaks, values changed or not."""

@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 
 from regionledger.llm import words
 
-FIT_ROWS = 5000
+FIT_ROWS = 2500
 LONGEST = 1 << 16
 BUCKETS = 1 << 20
 WIDTH = 8
 WINDOW = 3
 GRAMS = (3, 4, 5, 6)
 THRESHOLD = 0.7
+#: First epochs, and the words of a text that they look at.
+WARM, STRETCH = 8, 40
 
 
 @dataclass
@@ -96,30 +98,25 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, rate: float = 8
     """Joint training; each step takes every document's worst window at the time."""
     if not len(texts) or toxic.all() or not toxic.any():
         return Model(np.zeros(BUCKETS), 0.0)
-    chunks = [w for _, _, w in words.chunks(pa.array(texts, pa.large_string()), lower=True)]
-    parts = [subwords(w) for w in chunks]
-    buckets = np.concatenate([p[0] for p in parts])
-    sizes = np.concatenate([np.diff(p[1]) for p in parts])
-    bounds = np.append(0, np.cumsum(sizes))
-    shift = np.cumsum([0] + [len(p[1]) - 1 for p in parts])
-    which = np.concatenate([p[2] + k for p, k in zip(parts, shift)])
-    first, base = [np.zeros(1, np.int64)], 0
-    for w in chunks:
-        first.append(w.first[1:] + base)
-        base += len(w.hashes)
-    first = np.concatenate(first)
+    seen: dict[bytes, int] = {}
+    found = [[seen.setdefault(w, len(seen)) for w in t.encode().lower().split()] for t in texts]
+    first = np.append(0, np.cumsum([len(f) for f in found]))
+    which = np.concatenate([np.array(f, np.int64) for f in found])
+    del found
+    buckets, bounds, own = subwords(next(words.chunks(pa.array([b" ".join(seen).decode()]), lower=True))[2])
+    which, sizes, starts = own[which], np.diff(bounds), bounds[:-1]
     clean = np.flatnonzero(~toxic)
     rng = np.random.default_rng(seed)
     # From zero, so that a bucket that training never met says nothing.
     table = np.zeros((BUCKETS, WIDTH))
     weight, bias = rng.normal(0, 1, WIDTH), 0.0
     top, g_weight, g_bias = 1e-12, np.full(WIDTH, 1e-12), 1e-12
-    starts = bounds[:-1]
     for epoch in range(epochs):
         pull = table @ weight
-        if epoch < 3:
-            # No window stands out yet: the whole text is the bag.
-            lo, hi = first[:-1], first[1:]
+        if epoch < WARM:
+            # No window stands out yet: the bag is a longer stretch from anywhere in the text.
+            lo = rng.integers(first[:-1], np.maximum(first[1:] - STRETCH, first[:-1]) + 1)
+            hi = np.minimum(lo + STRETCH, first[1:])
         else:
             own = np.add.reduceat(pull[buckets], starts)
             _, lo, hi = _worst(own[which], sizes[which], first, 0.0)
