@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 from regionledger import schemas as S
@@ -57,24 +58,32 @@ def _src4(spark, d):
 
 @query(
     "src5_ragged_tsv",
-    """SELECT 'row' AS kind, CAST(c_custkey AS VARCHAR) AS ID, c_name AS NAME, CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN c_mktsegment ELSE c_mktsegment || chr(9) || 'extra' END AS SEGMENT
-       FROM customer WHERE c_custkey % 50 <> 0 UNION ALL SELECT 'rejected', CAST(COUNT(*) AS VARCHAR), NULL, NULL FROM customer WHERE c_custkey % 50 = 0""",
+    """SELECT 'row' AS kind, CAST(c_custkey AS VARCHAR) AS ID,
+       CASE WHEN c_custkey % 50 = 0 THEN c_name || chr(10) || 'second line' WHEN c_custkey % 7 = 1 THEN 'SITE NAME depot' ELSE c_name END AS "SITE NAME",
+       CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN c_mktsegment ELSE c_mktsegment || chr(9) || 'extra' END AS SEGMENT
+       FROM customer UNION ALL SELECT 'rejected', CAST(0 AS VARCHAR), NULL, NULL""",
 )
 def _src5(spark, d):
+    """Data rows that hold the header's keyword, records of two lines, short and long rows, a trailer."""
     path = scratch.folder(spark)
     seg = (
         F.when(C("c_custkey") % 3 == 1, F.concat(F.lit("\t"), "c_mktsegment"))
         .when(C("c_custkey") % 3 == 2, F.concat(F.lit("\t"), "c_mktsegment", F.lit("\textra"))).otherwise("")
     )
-    name = F.when(C("c_custkey") % 50 == 0, F.concat(F.lit('"'), "c_name")).otherwise(F.concat(F.lit('"'), "c_name", F.lit('"')))
-    lines = _customers(spark, d).select(F.concat(C("c_custkey").cast("string"), F.lit("\t"), name, seg).alias("value"))
-    ends = t.read(spark, d, "region").where("r_regionkey < 2").select(
-        F.when(C("r_regionkey") == 0, "﻿ID\tNAME\tSEGMENT\t20240131").otherwise("Total output lines: 99").alias("value")
-    )
-    lines.unionByName(ends).write.text(path)
-    rows, rejected = readers.ragged_tsv(spark, path, "ID\tNAME")
+    name = F.when(C("c_custkey") % 50 == 0, F.concat("c_name", F.lit("\nsecond line"))).when(C("c_custkey") % 7 == 1, "SITE NAME depot").otherwise(C("c_name"))
+    quoted = F.concat(F.lit('"'), name, F.lit('"'))
+    lines = _customers(spark, d).select(F.concat(C("c_custkey").cast("string"), F.lit("\t"), quoted, seg).alias("value"))
+    trailer = t.read(spark, d, "region").where("r_regionkey = 0").select(F.lit("Total output lines: 99").alias("value"))
+
+    def headed(batches):
+        # Every part file opens with the header.
+        yield pd.DataFrame({"value": ["\ufeffID\tSITE NAME\tSEGMENT\t20240131"]})
+        yield from batches
+
+    lines.unionByName(trailer).mapInPandas(headed, "value string").write.text(path)
+    rows, rejected = readers.ragged_tsv(spark, path, "SITE NAME")
     none = F.lit(None).cast("string")
-    misses = rejected.agg(F.count(F.lit(1)).cast("string").alias("ID")).select(F.lit("rejected").alias("kind"), "ID", none.alias("NAME"), none.alias("SEGMENT"))
+    misses = rejected.agg(F.count(F.lit(1)).cast("string").alias("ID")).select(F.lit("rejected").alias("kind"), "ID", none.alias("SITE NAME"), none.alias("SEGMENT"))
     return rows.withColumn("kind", F.lit("row")).unionByName(misses)
 
 
@@ -118,13 +127,13 @@ def _src8(spark, d):
     return readers.csv_typed(spark, path, S.PAYROLL)
 
 
-@query("src9_file_per_year", "SELECT o_orderkey, o_orderstatus, file_year FROM (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS file_year FROM orders) WHERE file_year IN (1996, 1998)")
+@query("src9_file_per_year", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS file_year FROM orders")
 def _src9(spark, d):
     base = scratch.folder(spark)
-    orders = t.read(spark, d, "orders")
-    for y in (1996, 1998):
-        writers.write_csv(orders.where(F.year("o_orderdate") == y).select("o_orderkey", "o_orderstatus"), f"{base}/{y}.csv")
-    return readers.csv_per_year(spark, base + "/{year}.csv", [1996, 1998])
+    orders = t.read(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("file_year"))
+    orders.write.option("header", True).option("escape", '"').partitionBy("file_year").csv(base)
+    years = [r[0] for r in orders.select("file_year").distinct().orderBy("file_year").collect()]
+    return readers.csv_per_year(spark, base + "/file_year={year}", years)
 
 
 @query("src10_inline_literals", f"SELECT state_cnty_fips_cd, cnty_nm AS ref_cnty_nm, state_nm, cnty_full_nm, population_num, population_year FROM ({_GEO_NAMES})")
@@ -144,14 +153,20 @@ def _src12(spark, d):
     return readers.csv_columns(spark, path, ["s_suppkey", "s_name", "absent"])
 
 
-@query("src13_csv_after_preamble", "SELECT p_partkey AS code, p_name AS title, p_retailprice AS price FROM part", "price")
+@query(
+    "src13_csv_after_preamble",
+    "SELECT CASE WHEN p_partkey % 9 = 4 THEN '-' ELSE CAST(p_partkey AS VARCHAR) END AS code, p_name AS title, p_retailprice AS price FROM part", "price",
+)
 def _src13(spark, d):
+    """Data lines whose first field is quoted, or no number at all, are data."""
     path = scratch.folder(spark)
-    data = t.read(spark, d, "part").select(F.concat_ws(",", "p_partkey", "p_name", "p_retailprice").alias("value"))
+    number = C("p_partkey").cast("string")
+    code = F.when(C("p_partkey") % 9 == 4, "-").when(C("p_partkey") % 5 == 2, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number)
+    data = t.read(spark, d, "part").select(F.concat_ws(",", code, "p_name", "p_retailprice").alias("value"))
     preamble = t.read(spark, d, "region").select(F.concat(F.lit("Bureau table, "), "r_name").alias("value"))
     preamble.unionByName(data).write.text(path)
-    schema = T.StructType([T.StructField("code", T.LongType()), T.StructField("title", T.StringType()), T.StructField("price", T.DoubleType())])
-    return readers.csv_after_preamble(spark, path, "^[0-9]+,", schema)
+    schema = T.StructType([T.StructField("code", T.StringType()), T.StructField("title", T.StringType()), T.StructField("price", T.DoubleType())])
+    return readers.csv_after_preamble(spark, path, "^Bureau table, ", schema)
 
 
 # --- sinks -----------------------------------------------------------------------------------
@@ -164,17 +179,25 @@ def _snk1(spark, d):
     return readers.csv_text(spark, path)
 
 
-@query("snk2_years_stacked", "SELECT * FROM survey_cells WHERE year_num = 1998", "abs_payroll_usd_amt", "abs_rcpt_usd_amt")
+@query(
+    "snk2_years_stacked",
+    "SELECT * REPLACE (CASE WHEN year_num = 1998 THEN abs_emp_num + 1 ELSE abs_emp_num END AS abs_emp_num) FROM survey_cells", "abs_payroll_usd_amt", "abs_rcpt_usd_amt",
+)
 def _snk2(spark, d):
+    """All years, then one of them again: the rerun replaces its year and no other."""
     path = scratch.folder(spark)
-    writers.write_years(t.survey_cells(spark, d), path, S.FACT_KEY)
-    return spark.read.parquet(path).where(C("year_num") == 1998)
+    cells = scratch.materialise(t.survey_cells(spark, d))
+    writers.write_years(cells, path, S.FACT_KEY)
+    again = cells.where(C("year_num") == 1998).withColumn("abs_emp_num", C("abs_emp_num") + 1)
+    writers.write_years(again, path, S.FACT_KEY)
+    return spark.read.schema(cells.schema).parquet(path)
 
 
 @query("snk3_replace_table", "SELECT o_orderstatus, COUNT(*) AS row_cnt FROM orders GROUP BY 1")
 def _snk3(spark, d):
-    name = "regionledger_orders"
-    writers.replace_table(t.read(spark, d, "orders"), name, scratch.folder(spark))
+    path = scratch.folder(spark)
+    name = f"regionledger_orders_{path.rsplit('/', 1)[-1]}"
+    writers.replace_table(t.read(spark, d, "orders"), name, path)
     return spark.table(name).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("row_cnt"))
 
 

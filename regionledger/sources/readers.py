@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -81,42 +84,90 @@ def csv_per_year(
 
 
 def csv_after_preamble(
-    spark: SparkSession, path: str, data_pattern: str, schema: T.StructType
+    spark: SparkSession, path: str, preamble_pattern: str, schema: T.StructType
 ) -> DataFrame:
     """CSV below free-text lines.
 
-    Line numbers mean nothing across file splits, so data lines are told by their
-    shape instead of by skipping a fixed count.
+    Line numbers mean nothing across file splits, so the free text is told by its own
+    pattern; every other line that is not blank is a data row, whatever it looks like.
     """
-    lines = spark.read.text(path).where(F.col("value").rlike(data_pattern))
-    parsed = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "))
+    lines = spark.read.text(path).where(~F.col("value").rlike(preamble_pattern) & (F.trim("value") != ""))
+    parsed = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), {"escape": '"'})
     return lines.select(parsed.alias("r")).select("r.*")
 
 
+_QUOTE_OR_ESCAPE = re.compile(r'\\.|"')
+
+
+def _open_quote(line: str) -> bool:
+    return sum(m == '"' for m in _QUOTE_OR_ESCAPE.findall(line)) % 2 == 1
+
+
+def _records(text: str) -> Iterator[tuple[str, bool]]:
+    """(record, complete) of a whole file: lines are joined until their quotes are even.
+
+    A quote that never closes makes its own line incomplete, and reading goes on behind it.
+    """
+    lines = text.split("\n")
+    odd = [i for i, line in enumerate(lines) if _open_quote(line)]
+    at, i = 0, 0
+    while i < len(lines):
+        if at < len(odd) and odd[at] == i:
+            if at + 1 == len(odd):
+                yield lines[i], False
+                i, at = i + 1, at + 1
+            else:
+                yield "\n".join(lines[i : odd[at + 1] + 1]), True
+                i, at = odd[at + 1] + 1, at + 2
+        else:
+            yield lines[i], True
+            i += 1
+
+
+def _whole_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for text in batch["value"]:
+            rows = list(_records(text))
+            yield pd.DataFrame({"value": [r for r, _ in rows], "complete": [c for _, c in rows]})
+
+
 def ragged_tsv(spark: SparkSession, path: str, header_keyword: str) -> tuple[DataFrame, DataFrame]:
     """Tab-separated lines of uneven width: ``(rows, rejected lines)``.
 
-    The header line is the one holding ``header_keyword``; a byte-order mark and a
-    trailing run stamp are cut from it. Short rows are padded, overflow is glued
-    into the last field, count trailers are dropped. A quoted field may not span
-    lines here (a line split cannot see it), so lines with an odd number of quotes
-    go to the second frame.
+    The header is the first line of a file that is not blank, and must hold
+    ``header_keyword``; only lines equal to it are left out of the rows. A byte-order
+    mark and a trailing run stamp are cut from it. Short rows are padded, overflow is
+    glued into the last field, blank lines and count trailers are dropped. Quoted fields may
+    span lines: files that hold such a line are read as a whole, the others in
+    splits. A line whose quote never closes goes to the second frame.
     """
-    lines = spark.read.option("encoding", "ISO-8859-1").text(path)
-    bare = F.regexp_replace("value", "^(ï»¿|﻿)+|\r$", "")
-    lines = lines.select(bare.alias("value")).where(
-        (F.col("value") != "") & ~F.lower("value").startswith("total output lines")
-    )
-    header_line = lines.where(F.contains("value", F.lit(header_keyword))).first()
-    if header_line is None:
+    def cleaned(df: DataFrame) -> DataFrame:
+        bare = F.regexp_replace("value", "^(ï»¿|\ufeff)+|\r$", "")
+        return df.withColumn("value", bare).where(
+            (F.col("value") != "") & ~F.lower("value").startswith("total output lines")
+        )
+
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    lines = cleaned(lines)
+    # The first split of a file begins with its header.
+    header_line = lines.where(F.col("at") == 0).first()
+    if header_line is None or header_keyword not in header_line["value"]:
         raise ValueError(f"no header line with {header_keyword!r} in {path}")
-    names = header_line["value"].split("\t")
+    header = header_line["value"]
+    names = header.split("\t")
     if names[-1] == "" or names[-1].isdigit():
         names = names[:-1]
     width = len(names)
-    body = lines.where(~F.contains("value", F.lit(header_keyword)))
     unescaped = F.regexp_replace("value", r"\\.", "")
     odd = F.regexp_count(unescaped, F.lit('"')) % 2 == 1
+    # One row per file.
+    spanning = lines.where(odd).select("file").distinct()
+    whole = (
+        spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+        .join(spanning, "file", "left_semi").select("value").mapInPandas(_whole_records, "value string, complete boolean")
+    )
+    body = lines.join(spanning, "file", "left_anti").select("value", F.lit(True).alias("complete"))
+    body = body.unionByName(cleaned(whole)).where(F.col("value") != header)
     # Only lines with quotes pay for the split that skips tabs inside them.
     fields = F.when(F.contains("value", F.lit('"')), F.split("value", UNQUOTED_TAB)).otherwise(F.split("value", "\t"))
     sized = (
@@ -132,14 +183,14 @@ def ragged_tsv(spark: SparkSession, path: str, header_keyword: str) -> tuple[Dat
     )
 
     def cell(i: int) -> Column:
-        inner = F.regexp_replace(F.col("g")[i], '^"(.*)"$', "$1")
+        inner = F.regexp_replace(F.col("g")[i], '(?s)^"(.*)"$', "$1")
         return F.regexp_replace(F.regexp_replace(inner, '""', '"'), r"\\(.)", "$1")
 
     rows = (
-        body.where(~odd).select(fields.alias("f")).select(sized.alias("g"))
+        body.where("complete").select(fields.alias("f")).select(sized.alias("g"))
         .select([cell(i).alias(n) for i, n in enumerate(names) if n and not n.startswith("Unnamed:")])
     )
-    return rows, body.where(odd)
+    return rows, body.where(~F.col("complete")).select("value")
 
 
 def json_header_rows(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,14 +16,15 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_years(df: DataFrame, path: str, keys: list[str]) -> None:
-    """All years in one table, one directory per year; a repeated key stops the write.
+    """One directory per year; a repeated key stops the write.
 
-    The rows are staged once; the key check and the write both read the staged copy
+    Only the years in ``df`` are replaced: a rerun of one year leaves the others. The rows
+    are staged once; the key check and the write both read the staged copy
     instead of deriving the table twice.
     """
     staged = scratch.materialise(df)
     quality.fail_on_duplicates(staged, keys, "stacked output")
-    staged.write.mode("overwrite").partitionBy("year_num").parquet(path)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year_num").parquet(path)
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
@@ -31,17 +33,26 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
 
 
 def append_run(df: DataFrame, path: str, run_id: str | None = None) -> str:
-    """Append results stamped with a run id and time."""
+    """Append results as a partition of their own, named by run time and id."""
     run_id = run_id or str(uuid.uuid4())
-    stamped = df.withColumn("run_id", F.lit(run_id)).withColumn("run_ts", F.current_timestamp())
-    stamped.write.mode("append").parquet(path)
+    now = datetime.datetime.now(datetime.timezone.utc)
+    stamp = now.strftime("%Y%m%dT%H%M%S%fZ")
+    stamped = df.withColumns({
+        "run_ts": F.lit(now), "run": F.lit(f"{stamp}_{run_id}"), "run_id": F.lit(run_id),
+    })
+    stamped.write.mode("append").partitionBy("run").parquet(path)
     return run_id
 
 
 def latest_run(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest run of an appended result table."""
-    runs = spark.read.parquet(path)
-    return runs.where(F.col("run_ts") == runs.agg(F.max("run_ts")).scalar())
+    """Rows of the newest run of an appended result table.
+
+    Run names sort by time and the newest is found among the partitions' names, so only its
+    files are read. Of runs of one instant the larger id counts: one run, never two.
+    """
+    runs = spark.read.option("mergeSchema", False).parquet(path)
+    newest = runs.select("run").distinct().agg(F.max("run")).first()[0]
+    return runs.where(F.col("run") == newest).drop("run")
 
 
 def publish_view(df: DataFrame, name: str) -> None:

@@ -112,14 +112,39 @@ def test_metro_missing_side_is_ok_and_named(spark):
 
 def test_ragged_file(spark, tmp_path):
     (tmp_path / "r.txt").write_text(
-        "﻿1. FACILITY STATE\tB\tC\t20240101\nCA\tx\ty\nNV\nOR\t1\t2\t3\n\"A\"\t\"b\tc \"\"q\"\"\"\td\\e\nTX\t\"open\nTotal output lines: 5\n",
+        "\ufeff1. FACILITY STATE\tB\tC\t20240101\nCA\tx\ty\nNV\nacme FACILITY STATE depot\tCA\nOR\t1\t2\t3\n\"A\"\t\"b\tc \"\"q\"\"\"\td\\e\n"
+        "WA\t\"two\nlines\"\tz\n\nTX\t\"open\nTotal output lines: 5\n",
         encoding="utf-8",
     )
+    (tmp_path / "s.txt").write_text("1. FACILITY STATE\tB\tC\t20240101\nID\tFACILITY STATE\n")
     rows, rejected = readers.ragged_tsv(spark, str(tmp_path), "FACILITY STATE")
     assert rows.columns == ["1. FACILITY STATE", "B", "C"]
     got = sorted(tuple(r) for r in rows.collect())
-    assert got == [("A", 'b\tc "q"', "de"), ("CA", "x", "y"), ("NV", "", ""), ("OR", "1", "2\t3")]
+    # Of fifteen lines two are headers, one is blank, one a trailer, two are one record.
+    assert got == [
+        ("A", 'b\tc "q"', "de"), ("CA", "x", "y"), ("ID", "FACILITY STATE", ""), ("NV", "", ""), ("OR", "1", "2\t3"),
+        ("WA", "two\nlines", "z"), ("acme FACILITY STATE depot", "CA", ""),
+    ]
     assert [r[0] for r in rejected.collect()] == ['TX\t"open']
+    with pytest.raises(ValueError):
+        readers.ragged_tsv(spark, str(tmp_path), "no such keyword")
+
+
+def test_preamble_is_told_by_its_own_pattern(spark, tmp_path):
+    (tmp_path / "p.csv").write_text('Bureau table, 1\n"2",b\n-,c\n\n3,d\n')
+    got = readers.csv_after_preamble(spark, str(tmp_path), "^Bureau", readers.text_schema(["code", "title"])).collect()
+    assert sorted(map(tuple, got)) == [("-", "c"), ("2", "b"), ("3", "d")]
+
+
+def test_latest_run_reads_one_partition(spark, tmp_path):
+    from regionledger.sources import writers
+
+    path = str(tmp_path / "runs")
+    for n in (3, 2):
+        writers.append_run(spark.range(n).toDF("x"), path)
+    latest = writers.latest_run(spark, path)
+    assert latest.count() == 2
+    assert "PartitionFilters: [isnotnull(run" in latest._jdf.queryExecution().executedPlan().toString()
 
 
 def test_payload_error_raises(spark, tmp_path):
