@@ -29,7 +29,7 @@ from regionledger.llm import words
 
 FIT_ROWS = 2500
 LONGEST = 1 << 16
-BUCKETS = 1 << 20
+BUCKETS = 1 << 19
 WIDTH = 8
 WINDOW = 3
 GRAMS = (3, 4, 5, 6)
@@ -101,14 +101,24 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, rate: float = 8
     seen: dict[bytes, int] = {}
     found = [[seen.setdefault(w, len(seen)) for w in t.encode().lower().split()] for t in texts]
     first = np.append(0, np.cumsum([len(f) for f in found]))
-    which = np.concatenate([np.array(f, np.int64) for f in found])
-    del found
-    buckets, bounds, own = subwords(next(words.chunks(pa.array([b" ".join(seen).decode()]), lower=True))[2])
-    which, sizes, starts = own[which], np.diff(bounds), bounds[:-1]
+    which = np.concatenate([np.array(f, np.int32) for f in found])
+    del found, texts
+    # Word by word in slices, so that the n-grams' working arrays stay small.
+    vocabulary, parts, own = list(seen), [], np.empty(len(seen), np.int32)
+    del seen
+    for i in range(0, len(vocabulary), 20_000):
+        text = pa.array([b" ".join(vocabulary[i : i + 20_000]).decode()])
+        part, edges, order = subwords(next(words.chunks(text, lower=True))[2])
+        own[i : i + 20_000] = order + sum(len(x) for _, x in parts)
+        parts.append((part.astype(np.int32), np.diff(edges)))
+    buckets, sizes = (np.concatenate(x) for x in zip(*parts))
+    bounds, which = np.append(0, np.cumsum(sizes)), own[which]
+    del vocabulary, parts, own
+    sizes, starts = np.diff(bounds).astype(np.int32), bounds[:-1]
     clean = np.flatnonzero(~toxic)
     rng = np.random.default_rng(seed)
     # From zero, so that a bucket that training never met says nothing.
-    table = np.zeros((BUCKETS, WIDTH))
+    table = np.zeros((BUCKETS, WIDTH), np.float32)
     weight, bias = rng.normal(0, 1, WIDTH), 0.0
     top, g_weight, g_bias = 1e-12, np.full(WIDTH, 1e-12), 1e-12
     for epoch in range(epochs):
@@ -119,7 +129,12 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, rate: float = 8
             hi = np.minimum(lo + STRETCH, first[1:])
         else:
             own = np.add.reduceat(pull[buckets], starts)
-            _, lo, hi = _worst(own[which], sizes[which], first, 0.0)
+            lo, hi = first[:-1].copy(), first[1:].copy()
+            for d in range(0, len(lo), 100):
+                part = first[d : d + 101]
+                word = which[part[0] : part[-1]]
+                _, a, b = _worst(own[word], sizes[word], part - part[0], 0.0)
+                lo[d : d + 100], hi[d : d + 100] = a + part[0], b + part[0]
             # Harmless texts also show a window that is not their worst.
             more = rng.integers(first[:-1], np.maximum(first[1:] - WINDOW, first[:-1]) + 1)[clean]
             lo = np.append(lo, more)
@@ -127,7 +142,7 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, rate: float = 8
         n = hi - lo
         y = np.append(toxic.astype(float), np.zeros(len(n) - len(toxic)))
         share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-        doc = np.repeat(np.arange(len(n)), n)
+        doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
         word = which[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         k = sizes[word]
         doc = np.repeat(doc, k)
@@ -140,12 +155,13 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 60, rate: float = 8
         to_weight, to_bias = error @ average, error.sum()
         # One scale for all buckets: what many texts agree on moves far, a rare bucket hardly.
         top = max(top, np.abs(step).max())
-        table -= (rate * step / top)[:, None] * weight
+        moved = np.flatnonzero(step)
+        table[moved] -= (rate * step[moved] / top)[:, None] * weight
         g_weight += to_weight**2
         g_bias += to_bias**2
         weight = weight - 0.1 * to_weight / np.sqrt(g_weight)
         bias -= 0.3 * to_bias / np.sqrt(g_bias)
-    return Model(table @ weight, float(bias))
+    return Model((table @ weight).astype(np.float32), float(bias))
 
 
 def scores(model: Model, w: words.Words) -> np.ndarray:
@@ -171,7 +187,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FI
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("t")).where(F.octet_length("t") <= longest)
     # At most 2 * rows ids.
     got = texts.join(F.broadcast(chosen), "id").orderBy(*order, "t").limit(4 * rows).collect()
-    return train([r["t"] for r in got], np.array([r["y"] == 1 for r in got], bool))
+    texts, toxic = [r["t"] for r in got], np.array([r["y"] == 1 for r in got], bool)
+    del got
+    return train(texts, toxic)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
