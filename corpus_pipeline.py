@@ -27,12 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the smallest id, of rows with that id one text and row."""
-    groups = scratch.materialise(jaccard.groups(docs, jaccard.Likeness(5, 4, 5)))
-    # A text without words links with nothing, and neither does a row without an id.
-    gone = groups.where("n_shingles > 0 AND doc_id != component_id").select("doc_id").distinct()
-    rows = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return rows.dropDuplicates(docs.columns)
+    """One document of each group stays, the one with the smallest id."""
+    return jaccard.keep_one(docs, jaccard.Likeness(5, 4, 5))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

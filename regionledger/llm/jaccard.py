@@ -15,7 +15,7 @@ num/den. Equal sets are one class from the start. For different classes:
    two leaders, and after these are verified only pairs of members that are still in different
    components, one of them outside the list's largest component. So a group of thousands
    of near copies costs a few pairs each, and no pair that could join components is left out.
-4. Pairs are cut by size and by position, then verified on the whole sets.
+4. Pairs are cut by size, by position and by the number of keys they share, then verified on the whole sets.
 
 Words are lower-cased (A-Z). A text with fewer than `k` words is one shingle; an empty or null
 text has none and links with nothing. Null ids are allowed; the smallest non-null id
@@ -61,6 +61,9 @@ class Likeness:
         """Shingles that a partner must share with a set of n."""
         return -(-self.num * n // self.den)
 
+    def least_column(self, n: Column) -> Column:
+        return F.ceil(self.num * n / self.den - 1e-9)
+
     def together(self, n: Column, m: Column) -> Column:
         """Shingles that sets of n and m must share."""
         return F.ceil(self.num * (n + m) / (self.num + self.den) - 1e-9)
@@ -84,7 +87,7 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def _counted(k: int, counters: int):
     """A row per document, and the task's counts at its end."""
-    kinds = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+    kinds = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((sketch.DEPTH, counters), np.uint32)
@@ -100,7 +103,7 @@ def _counted(k: int, counters: int):
                     held, members = [], 0
             _add(sums, held)
             none = [None] * len(ids)
-            yield pa.RecordBatch.from_pydict({"doc_id": ids, "cls": prints, "n": sizes, "part": none, "counts": none}, kinds)
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "fp": batch.column("fp"), "cls": prints, "n": sizes, "part": none, "counts": none}, kinds)
         pack = zstandard.ZstdCompressor(1)
         step = max(1, counters // 8)
         for row in range(sketch.DEPTH):
@@ -108,7 +111,7 @@ def _counted(k: int, counters: int):
                 part = sums[row, p : p + step]
                 if part.any():
                     blob = pack.compress(part.tobytes())
-                    yield pa.RecordBatch.from_pydict({"doc_id": [None], "cls": [None], "n": [None], "part": [row * counters + p], "counts": [blob]}, kinds)
+                    yield pa.RecordBatch.from_pydict({"doc_id": [None], "fp": [None], "cls": [None], "n": [None], "part": [row * counters + p], "counts": [blob]}, kinds)
 
     def _add(sums: np.ndarray, held: list[np.ndarray]) -> None:
         if held:
@@ -224,20 +227,47 @@ def _join_keys(levels, like: Likeness, heavy: int, bits, cells: int):
     return of
 
 
-def _candidates(a: DataFrame, b: DataFrame, like: Likeness, heavy: int, more: Column) -> DataFrame:
-    """Pairs of entries of one list (columns as they are, and with `_b`) that size and position allow."""
+def _meetings(a: DataFrame, b: DataFrame, like: Likeness, heavy: int, more: Column) -> DataFrame:
+    """Entries of one list (columns as they are, and with `_b`) whose sizes allow a link, pair by pair.
+
+    `reach`: whether the positions allow it, too. For a pair's first shared key they do.
+    """
     both = a.join(b, (a["key"] == b["key_b"]) & more & (F.col("cls") != F.col("cls_b")))
     n, m = F.col("n"), F.col("n_b")
     shared = F.when(F.col("subset"), 2).otherwise(1)
-    reach = shared + F.least(n - F.col("pos") - 1, m - F.col("pos_b") - 1)
-    fit = (like.den * n >= like.num * m) & (like.den * m >= like.num * n) & (reach >= like.together(n, m))
+    reach = shared + F.least(n - F.col("pos") - 1, m - F.col("pos_b") - 1) >= like.together(n, m)
+    fit = (like.den * n >= like.num * m) & (like.den * m >= like.num * n)
     # Two light sets meet by their subsets only.
     fit = fit & (F.col("subset") | (n >= heavy) | (m >= heavy))
-    return both.where(fit).select(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b"))
+    return both.where(fit).withColumn("reach", reach)
+
+
+def _pair() -> list[Column]:
+    return [F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b")]
 
 
-def _other(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{c}_b") for c in ("key", "cls", "n", "pos")], *[c for c in df.columns if c.endswith("_x")])
+def _candidates(a: DataFrame, b: DataFrame, like: Likeness, heavy: int, more: Column) -> DataFrame:
+    return _meetings(a, b, like, heavy, more).where("reach").select(*_pair())
+
+
+def _counted_candidates(short: DataFrame, like: Likeness, heavy: int) -> DataFrame:
+    """Pairs of short lists that can still link, given how many keys of their prefixes they share.
+
+    Behind the prefix that ends first a set has at most its own rest in common with the other. `far` is
+    how many keys of long lists a class has, which may be shared but are not counted here.
+    """
+    met = _meetings(short, _other(short, "far"), like, heavy, F.col("cls") < F.col("cls_b"))
+    counted = met.groupBy(*_pair()).agg(
+        F.max("reach").alias("reach"), F.max("subset").alias("subset"), F.count_if(~F.col("subset")).alias("shared"),
+        F.first(like.together(F.col("n"), F.col("n_b"))).alias("need"),
+        F.first(F.least("far", "far_b")).alias("far"),
+        F.first(like.least_column(F.greatest("n", "n_b")) - 1).alias("rest"),
+    )
+    return counted.where("reach AND (subset OR shared + far + rest >= need)").select("a", "b")
+
+
+def _other(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{c}_b") for c in ("key", "cls", "n", "pos", *more)])
 
 
 def verified(texts: DataFrame, pairs: DataFrame, like: Likeness, max_cells: int = MAX_CELLS) -> DataFrame:
@@ -288,14 +318,14 @@ def verified(texts: DataFrame, pairs: DataFrame, like: Likeness, max_cells: int
 
 
 def join(docs: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(members, links): doc_id, cls and n of every row, and the verified links of classes (a, b).
+    """(members, links): doc_id, fp (a hash of the text), cls and n of every row, and the verified links of classes (a, b).
 
     Links suffice to connect whatever is linked; of a group of near copies not all are listed.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    first = scratch.materialise(texts.mapInArrow(_counted(like.k, COUNTERS), "doc_id long, cls long, n long, part int, counts binary"))
-    members = first.where("part IS NULL").select("doc_id", "cls", "n")
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("fp"), F.col(text).alias("text"))
+    first = scratch.materialise(texts.mapInArrow(_counted(like.k, COUNTERS), "doc_id long, fp long, cls long, n long, part int, counts binary"))
+    members = first.where("part IS NULL").select("doc_id", "fp", "cls", "n")
     levels, length = _levels(first.where("part IS NOT NULL").select("part", "counts"), COUNTERS)
     levels = spark.sparkContext.broadcast(levels)
     # Sizes in steps of an eighth: a histogram of a bounded number of rows.
@@ -318,9 +348,11 @@ def join(docs: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", t
         F.min(F.struct("pos", order.alias("o"), "cls", "n")).alias("central"), F.min(F.struct(order.alias("o"), "pos", "cls", "n")).alias("any"),
     ).where("size > 1")
     head = scratch.materialise(head)
-    short = entries.join(head.where(F.col("size") <= SHORT_LIST).select("key"), "key", "left_semi")
-    pairs = _candidates(short, _other(short), like, heavy, F.col("cls") < F.col("cls_b"))
     long = scratch.materialise(entries.join(head.where(F.col("size") > SHORT_LIST).select("key"), "key", "left_semi"))
+    far = long.groupBy(F.col("cls").alias("c")).agg(F.count(F.lit(1)).alias("far"))
+    short = entries.join(head.where(F.col("size") <= SHORT_LIST).select("key"), "key", "left_semi")
+    short = short.join(far, short["cls"] == far["c"], "left").select(*entries.columns, F.coalesce("far", F.lit(0)).alias("far"))
+    pairs = _counted_candidates(scratch.materialise(short), like, heavy)
     for leader in ("central", "any"):
         lead = head.where(F.col("size") > SHORT_LIST).select(
             F.col("key").alias("key_b"), *[F.col(f"{leader}.{c}").alias(f"{c}_b") for c in ("cls", "n", "pos")]
@@ -330,15 +362,14 @@ def join(docs: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", t
     links = verified(texts, pairs, like)
     if long.limit(1).count():
         labels = components(links)
-        named = long.join(labels, long["cls"] == labels["node"], "left").select(*long.columns, F.coalesce("label", "cls").alias("comp_x"))
+        named = long.join(labels, long["cls"] == labels["node"], "left").select(*long.columns, F.coalesce("label", "cls").alias("comp"))
         named = scratch.materialise(named)
-        largest = named.groupBy("key", "comp_x").count().groupBy("key").agg(
-            F.max_by("comp_x", F.struct("count", "comp_x")).alias("most"), F.count(F.lit(1)).alias("parts")
+        largest = named.groupBy("key", "comp").count().groupBy("key").agg(
+            F.max_by("comp", F.struct("count", "comp")).alias("most"), F.count(F.lit(1)).alias("parts")
         ).where("parts > 1")
         open_ = scratch.materialise(named.join(largest, "key"))
-        outside = open_.where(F.col("comp_x") != F.col("most")).drop("most", "parts")
-        inside = _other(open_).withColumnRenamed("comp_x", "comp_y")
-        rest = _candidates(outside, inside, like, heavy, F.col("comp_x") != F.col("comp_y")).distinct()
+        outside = open_.where(F.col("comp") != F.col("most")).drop("most", "parts")
+        rest = _candidates(outside, _other(open_, "comp"), like, heavy, F.col("comp") != F.col("comp_b")).distinct()
         rest = scratch.materialise(rest.join(pairs, ["a", "b"], "left_anti"))
         if rest.limit(1).count():
             links = links.unionAll(verified(texts, rest, like))
@@ -346,15 +377,41 @@ def join(docs: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", t
 
 
 def groups(docs: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, cls, n_shingles and component_id of every row."""
+    """doc_id, fp, n_shingles, component (null: links with nothing) and component_id of every row.
+
+    `component` is the component's smallest class, `component_id` its smallest document id.
+    """
     members, links = join(docs, like, doc_id, text)
     labels = components(links)
     least = members.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("own"))
-    named = least.join(labels, least["cls"] == labels["node"], "left").select("cls", "own", F.coalesce("label", "cls").alias("label"))
+    named = least.join(labels, least["cls"] == labels["node"], "left").select("cls", "own", F.coalesce("label", "cls").alias("component"))
     named = scratch.materialise(named)
-    whole = named.groupBy(F.col("label").alias("l")).agg(F.min("own").alias("component_id"))
-    names = named.join(whole, named["label"] == whole["l"]).select(F.col("cls").alias("c"), "component_id")
+    whole = named.groupBy(F.col("component").alias("l")).agg(F.min("own").alias("component_id"))
+    names = named.join(whole, named["component"] == whole["l"]).select(F.col("cls").alias("c"), "component", "component_id")
     return members.join(names, (members["cls"] == names["c"]) & (members["n"] > 0), "left").select(
-        "doc_id", "cls", F.col("n").alias("n_shingles"),
+        "doc_id", "fp", F.col("n").alias("n_shingles"), "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` without all but one document of each group.
+
+    The smallest id stays (a null one last, then by a hash of the text); of rows with that id and text
+    one stays. Texts without words are in no group and stay.
+    """
+    found = scratch.materialise(groups(docs, like, doc_id, text).where("component IS NOT NULL"))
+    first = found.groupBy(F.col("component").alias("c")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("k")
+    )
+    marks = found.join(first, found["component"] == first["c"]).groupBy(F.col("doc_id").alias("d"), F.col("fp").alias("f")).agg(
+        F.max(~(F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("fp") == F.col("k.fp")))).alias("gone"), F.count(F.lit(1)).alias("rows")
+    ).where("gone OR rows > 1")
+    marks = scratch.materialise(marks)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc_id).cast("long").alias("d1"), F.xxhash64(text).alias("f1"))
+    marked = rows.join(marks, rows["d1"].eqNullSafe(marks["d"]) & (rows["f1"] == marks["f"]), "left")
+    alone = marked.where("gone IS NULL").select("row.*")
+    if not marks.where("NOT gone").limit(1).count():
+        return alone
+    repeated = marked.where("NOT gone").dropDuplicates(["d1", "f1"]).select("row.*")
+    return alone.unionAll(repeated)

@@ -111,3 +111,34 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
+
+
+def test_keep_one(spark):
+    like = jaccard.Likeness(5, 4, 5)
+    rows = corpus(7, 120, 60) + [(None, "a b c d e f g h"), (4000, "a b c d e f g h"), (4000, "a b c d e f g h"), (None, ""), (None, None), (4001, ""), (None, "only null here x y z")]
+    rows += [(None, "only null here x y z"), (6000, "Two texts of one id one"), (6000, "two TEXTS of one id one")]
+    docs = spark.createDataFrame([(i, t, 1, "k") for i, t in rows], "doc_id long, text string, cls int, row string")
+    got = jaccard.keep_one(docs, like)
+    assert got.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    sets = [shingles(t, like.k) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and like.den * len(a & sets[j]) >= like.num * len(a | sets[j]):
+                up[find(i)] = find(j)
+    groups = {}
+    for i, (d, t) in enumerate(rows):
+        if sets[i]:
+            groups.setdefault(find(i), []).append((d, t))
+    assert len(left) == len(groups) + sum(not s for s in sets)
+    for g in groups.values():
+        stay = [x for x in left if x in g]
+        ids = [d for d, _ in g if d is not None]
+        assert len(stay) == 1 and stay[0][0] == (min(ids) if ids else None)
