@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regionledger.llm import sample
+
 BASE = ("email", "ip", "card", "phone")
 #: Types of the field; the first is everything else.
 LABELS = ("other", "email", "ip", "card", "phone", "id")
@@ -354,8 +356,7 @@ def spans(t: str, weights: np.ndarray, moves: np.ndarray) -> list[tuple[int, int
 def fit(docs: DataFrame, text: str = "text", rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """The field, trained on words of at most `rows` documents chosen by a hash of the text."""
     t = docs.select(F.substring(F.coalesce(F.col(text), F.lit("")), 1, 2000).alias("t")).where("t != ''")
-    got = t.orderBy(F.xxhash64("t"), "t").limit(rows).collect()
-    return train([r["t"] for r in got])
+    return train([r["t"] for r in sample.smallest_hashes(t, "t", rows).collect()])
 
 
 def scan(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -19,6 +19,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regionledger.llm import sample
+
 BLANKS = r"[ \t-\r]"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -201,12 +203,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
     Null ids and labels don't count; of several labels of an id the smallest does. The
     sample's ids are few enough, by `rows`, to be sent to every task.
     """
-    chosen = (
+    known = (
         labels.select(F.col("doc_id").alias("id"), F.col(label).alias("y"))
         .where(F.col("id").isNotNull() & F.col("y").isNotNull())
         .groupBy("id").agg(F.min("y").alias("y"))
-        .orderBy(F.xxhash64("id"), "id").limit(rows)
     )
+    chosen = sample.smallest_hashes(known, "id", rows)
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
     found = texts.join(F.broadcast(chosen), "id")
     return statistics(found, keep=["id", "y"])
@@ -214,9 +216,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> list[Rule]:
     """The decision list for documents whose label is 0 (rejected) or 1."""
-    sample = labelled_sample(docs, labels, label, rows)
+    labelled = labelled_sample(docs, labels, label, rows)
     values = [F.expr(e) if "/" not in e else F.expr(e.replace(" / ", " / nullif(") + ", 0)") for e in FEATURES.values()]
-    got = sample.select(
+    got = labelled.select(
         "id", "y", *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in zip(FEATURES, values)]
     ).orderBy(F.xxhash64("id"), "id", *FEATURES).limit(2 * rows).collect()
     if not got:

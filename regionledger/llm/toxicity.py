@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regionledger.llm import words
+from regionledger.llm import sample, words
 
 FIT_ROWS = 2500
 LONGEST = 1 << 16
@@ -183,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FI
         .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
     )
     order = [F.xxhash64("id"), F.col("id")]
-    chosen = known.where("y = 1").orderBy(*order).limit(rows).unionAll(known.where("y = 0").orderBy(*order).limit(rows))
+    chosen = sample.smallest_hashes(known.where("y = 1"), "id", rows).unionAll(sample.smallest_hashes(known.where("y = 0"), "id", rows))
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("t")).where(F.octet_length("t") <= longest)
     # At most 2 * rows ids.
     got = texts.join(F.broadcast(chosen), "id").orderBy(*order, "t").limit(4 * rows).collect()
