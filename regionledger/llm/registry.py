@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionledger.llm import jaccard, mixing, pii, quality, secrets, sharding, substring, templates, tokens, toxicity
+from regionledger.llm import jaccard, mixing, oracle, pii, quality, secrets, sharding, substring, templates, tokens, toxicity
 from regionledger.sources import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,12 +53,6 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count(spark, path).select("doc_id", "n_tokens", "closed")
 
 
-ORACLE["op2_token_counts"] = r"""
-SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens, true AS closed
-FROM documents
-"""
-
-
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat passages of earlier ones are removed."""
@@ -130,6 +124,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+ORACLE["op1_secret_scan"] = oracle.secret_scan()
+ORACLE["op2_token_counts"] = oracle.token_counts()
+ORACLE["op3_substring_dedup"] = oracle.substring_dedup()
+ORACLE["op8_temperature_mix"] = oracle.temperature_mix(REPETITION_LIMIT)
+ORACLE["op10_jaccard_join"] = oracle.jaccard_join()
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
