@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from regionledger.functions import exprs
+from regionledger.sources import scratch
 
 
 def sum_or_zero(c) -> Column:
@@ -124,75 +125,84 @@ def exact_quantiles(
     """Exact, linearly interpolated quantiles per named measure, spread over the cluster.
 
     The built-in exact percentile keeps every distinct value of a group in one
-    buffer. Here a sketch only brackets each wanted rank; values inside the brackets
-    (a share of about 10/accuracy) are ranked exactly, everything below is merely
-    counted. Measures of fewer than 10 x accuracy values are ranked whole, as one
-    bracket would cut off an interpolation neighbour there. ``name`` holds one value
-    per column of the profiled table, so the broadcast bracket table is bounded by
-    the width of a schema.
+    buffer. Here a sketch brackets each wanted rank, at any number of values; rows outside the
+    brackets are only counted, in the map tasks, with the nearest value on either side, and
+    only values inside (a share of about 10/accuracy) are grouped. Their ranks come
+    from a range partitioning on measure and value, so a large bracket is ranked by many tasks.
+    ``name`` holds one value per column of the profiled table, so the broadcast
+    tables are bounded by the width of a schema.
 
     Returns one row per measure: ``name, value_cnt, quantiles array<double>``.
     """
     rows = long.where(F.col(value).isNotNull()).select(
-        name, F.col(value).cast("double").alias("v")
+        F.col(name).alias("m"), F.col(value).cast("double").alias("v")
     )
     slack = 5.0 / accuracy
-    brackets = rows.groupBy(name).agg(
+    brackets = scratch.materialise(rows.groupBy("m").agg(
         F.count(F.lit(1)).alias("value_cnt"),
         F.percentile_approx("v", [max(0.0, p - slack) for p in probs], accuracy).alias("lo"),
         F.percentile_approx("v", [min(1.0, p + slack) for p in probs], accuracy).alias("hi"),
-    )
-    counts = rows.groupBy(name, "v").agg(F.count(F.lit(1)).alias("n"))
-    placed = counts.join(F.broadcast(brackets), name)
-    whole = F.col("value_cnt") < 10 * accuracy
-
-    below = placed.groupBy(name).agg(
-        F.array(
-            *[
-                sum_or_zero(F.when(~whole & (F.col("v") < F.col("lo")[i]), F.col("n")))
-                for i in range(len(probs))
-            ]
-        ).alias("below")
-    )
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(p).alias("p"),
-                (whole | F.col("v").between(F.col("lo")[i], F.col("hi")[i])).alias("inside"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
-    near = placed.select(
-        name, "v", "n", "value_cnt", F.inline(F.filter(wanted, lambda w: w["inside"]))
-    )
-    upto = F.sum("n").over(Window.partitionBy(name, "i").orderBy("v"))
+    ))
+    placed = rows.join(F.broadcast(brackets), "m")
+
+    def edges(i: int) -> Column:
+        lower, upper = F.col("v") < F.col("lo")[i], F.col("v") > F.col("hi")[i]
+        return F.struct(
+            F.lit(i).alias("i"), F.lit(probs[i]).alias("p"), F.count_if(lower).alias("below"),
+            F.max(F.when(lower, F.col("v"))).alias("prev"), F.min(F.when(upper, F.col("v"))).alias("next"),
+        )
+
+    around = placed.groupBy("m").agg(
+        F.first("value_cnt").alias("value_cnt"), F.array(*[edges(i) for i in range(len(probs))]).alias("e")
+    ).select("m", "value_cnt", F.inline("e"))
+    hits = F.array(*[
+        F.when(F.col("v").between(F.col("lo")[i], F.col("hi")[i]), F.lit(i)) for i in range(len(probs))
+    ])
+    near = (
+        placed.select("m", "v", F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("i"))
+        .groupBy("m", "i", "v").agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = _running_count(near, ["m", "i"], "v", "n")
     position = F.col("p") * (F.col("value_cnt") - 1)
-    ranked = (
-        near.withColumn("upto", upto)
-        .join(F.broadcast(below), name)
-        .withColumn("first_rank", F.element_at("below", F.col("i") + 1) + F.col("upto") - F.col("n"))
-        .withColumn("next_rank", F.col("first_rank") + F.col("n"))
-        .withColumn("k", F.floor(position))
-    )
+    k = F.floor(position)
 
     def value_at(rank: Column) -> Column:
-        return F.max(
-            F.when((F.col("first_rank") <= rank) & (rank < F.col("next_rank")), F.col("v"))
-        )
-
-    ends = ranked.groupBy(name, "i", "value_cnt").agg(
-        value_at(F.col("k")).alias("a"),
-        value_at(F.least(F.col("k") + 1, F.col("value_cnt") - 1)).alias("b"),
-        F.max(position - F.col("k")).alias("t"),
-    )
-    point = F.struct("i", (F.col("a") + (F.col("b") - F.col("a")) * F.col("t")).alias("q"))
-    return ends.groupBy(name, "value_cnt").agg(
+        first = F.col("below") + F.col("upto") - F.col("n")
+        return F.max(F.when((first <= rank) & (rank < first + F.col("n")), F.col("v")))
+
+    after = F.least(k + 1, F.col("value_cnt") - 1)
+    ends = ranked.join(F.broadcast(around), ["m", "i"]).groupBy("m", "i", "value_cnt", "p", "below", "prev", "next").agg(
+        value_at(k).alias("a"), value_at(after).alias("b")
+    )
+    # A neighbour just outside the bracket is the nearest value there.
+    outside = lambda rank: F.when(rank < F.col("below"), F.col("prev")).otherwise(F.col("next"))
+    a, b = F.coalesce("a", outside(k)), F.coalesce("b", outside(after))
+    point = F.struct("i", (a + (b - a) * (position - k)).alias("q"))
+    return ends.groupBy(F.col("m").alias(name), "value_cnt").agg(
         F.transform(F.array_sort(F.collect_list(point)), lambda x: x["q"]).alias("quantiles")
     )
 
 
+def _running_count(df: DataFrame, keys: list[str], order: str, count: str) -> DataFrame:
+    """``upto``: the sum of ``count`` over rows of the key up to this one, by ``order`` (unique per key).
+
+    Rows are range-partitioned on key and order, summed up inside their range and shifted by the
+    ranges before, so one key's rows need not meet in one task. The partitioning is stored
+    once: a recomputed one could cut elsewhere.
+    """
+    cut = df.repartitionByRange(*keys, order).withColumn("__part", F.spark_partition_id())
+    stored = scratch.materialise(cut)
+    sums = stored.groupBy(*keys, "__part").agg(F.sum(count).alias("__n"))
+    # One row per key and shuffle partition that it reaches.
+    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*keys, "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy(*keys, "__part").orderBy(order)
+    return (
+        stored.withColumn("__own", F.sum(count).over(inside)).join(offsets, [*keys, "__part"])
+        .withColumn("upto", F.col("__before") + F.col("__own")).drop("__part", "__own", "__before")
+    )
+
+
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins between the column's own extremes; the top edge is inclusive."""
     span = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))

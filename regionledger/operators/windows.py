@@ -62,10 +62,16 @@ def global_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Row number over the whole table without gathering it in one task.
 
     Rows are range-partitioned on the full order (so equal leading values still
-    split) and numbered within their range; the ranges are then shifted by the row
+    split; ``order`` should be unique, as rows that tie on all of it share a range) and numbered
+    within their range; the ranges are then shifted by the row
     counts before them. The numbered rows are written once to shared storage:
     recomputing a range partition after an executor loss must not renumber it.
     """
+    return _numbered(df, order, name)[0]
+
+
+def _numbered(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """The numbered rows, and their stored copy."""
     numbered = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -85,19 +91,24 @@ def global_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
         .join(F.broadcast(offsets), "__part")
         .withColumn(name, F.col("__offset") + local + 1)
         .drop("__id", "__part", "__offset")
-    )
+    ), stored
 
 
 def percentile_bin(df: DataFrame, measure: str, tie: list[str], name: str) -> DataFrame:
-    """Bins 0..99 of the first-tie rank, cut at 100 equal quantiles of that rank."""
-    numbered = global_row_number(df, [measure, *tie], "__rn")
-    n = df.agg(F.count(F.lit(1))).scalar()
+    """Bins 0..99 of the first-tie rank, cut at 100 equal quantiles of that rank.
+
+    A null has no rank: only the others are numbered and counted, and its bin is null.
+    """
+    numbered, stored = _numbered(df.where(F.col(measure).isNotNull()), [measure, *tie], "__rn")
+    # Counted on the stored copy, which needs no column of it.
+    n = stored.agg(F.count(F.lit(1))).scalar()
     cut = F.expr("((__rn - 1) * 100 + __n - 2) div nullif(__n - 1, 0) - 1")
-    return (
+    binned = (
         numbered.withColumn("__n", n)
         .withColumn(name, F.greatest(F.coalesce(cut, F.lit(0)), F.lit(0)).cast("int"))
         .drop("__rn", "__n")
     )
+    return binned.unionByName(df.where(F.col(measure).isNull()).withColumn(name, F.lit(None).cast("int")))
 
 
 def z_scores(df: DataFrame, measure: str, name: str = "z") -> DataFrame:
