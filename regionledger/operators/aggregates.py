@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from regionledger.functions import exprs
 from regionledger.sources import scratch
@@ -26,14 +26,16 @@ def weekly_wage(wages: Column, employment: Column) -> Column:
 
 
 def keep_one(df: DataFrame, keys: list[str], priority: list[Column]) -> DataFrame:
-    """One row per key: the one with the lowest priority value.
+    """One row per key: the one with the lowest priority value, then the smallest other values.
 
     A ``min_by`` aggregate combines on the map side, so a key that holds a large
-    part of all rows never lands whole in one task, as it would under a window.
+    part of all rows never lands whole in one task, as it would under a window. It sorts
+    its input by key there (rows of any type have no hash aggregate).
     """
     rest = [c for c in df.columns if c not in keys]
+    ties = [f.name for f in df.schema.fields if f.name in rest and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*priority)).alias("__row")
+        F.min_by(F.struct(*rest), F.struct(*priority, *ties)).alias("__row")
     )
     return picked.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(df.columns)
 

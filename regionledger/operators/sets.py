@@ -52,19 +52,27 @@ def unexpected(df: DataFrame, allowed: DataFrame, column: str) -> DataFrame:
 def gaps(df: DataFrame, column: str) -> DataFrame:
     """Integers missing between the smallest and the largest value present.
 
-    The two ends come back as one row; the numbers between them are generated by
+    One lazy plan: the two ends are cut into blocks, and the blocks are counted out by
     the cluster, so long series are as good as a handful of years.
     """
-    lo, hi = df.agg(F.min(column), F.max(column)).first()
     kind = df.schema[column].dataType
-    full = df.sparkSession.range(lo or 0, (hi if hi is not None else -1) + 1)
+    block = 1_000_000
+    ends = df.agg(F.min(column).cast("long").alias("lo"), F.max(column).cast("long").alias("hi")).where("lo IS NOT NULL")
+    blocks = ends.withColumn("b", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor(F.col("hi") / block))))
+    first, last = F.col("b") * block, (F.col("b") + 1) * block - 1
+    full = blocks.repartition("b").select(
+        F.explode(F.sequence(F.greatest("lo", first), F.least("hi", last))).alias("id")
+    )
     return full.select(F.col("id").cast(kind).alias(column)).join(
         df.select(column).dropna(), column, "left_anti"
     )
 
 
 def with_overrides(base: DataFrame, overrides: DataFrame, keys: list[str]) -> DataFrame:
-    """Union in which an override row replaces the base row of the same key."""
+    """Union in which an override row replaces the base row of the same key.
+
+    Of several overrides of a key the one with the smallest values wins.
+    """
     both = base.withColumn("__p", F.lit(1)).unionByName(
         overrides.withColumn("__p", F.lit(0)), allowMissingColumns=True
     )

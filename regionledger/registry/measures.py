@@ -19,19 +19,20 @@ _CELL = "state_cnty_fips_cd, naics2_sector_cd, year_num"
 
 @query(
     "ag1_sum_null_as_zero",
-    "SELECT state_cnty_fips_cd, naics2_sector_cd, COALESCE(CAST(SUM(CASE WHEN year_num = 1995 THEN abs_firm_num END) AS BIGINT), 0) AS firms FROM survey_cells GROUP BY 1, 2",
+    "SELECT state_cnty_fips_cd, naics2_sector_cd, COALESCE(CAST(SUM(CASE WHEN right(state_cnty_fips_cd, 1) <> '3' THEN abs_firm_num END) AS BIGINT), 0) AS firms FROM survey_cells GROUP BY 1, 2",
 )
 def _ag1(spark, d):
-    firms = F.when(C("year_num") == 1995, C("abs_firm_num"))
+    # All years count; the cells of some counties are null.
+    firms = F.when(F.right("state_cnty_fips_cd", F.lit(1)) != "3", C("abs_firm_num"))
     return t.survey_cells(spark, d).groupBy("state_cnty_fips_cd", "naics2_sector_cd").agg(aggregates.sum_or_zero(firms).alias("firms"))
 
 
 @query(
     "ag2_sum_null_as_null",
-    "SELECT state_cnty_fips_cd, naics2_sector_cd, CAST(SUM(CASE WHEN year_num = 2001 AND abs_firm_num > 8 THEN abs_firm_num END) AS BIGINT) AS firms FROM survey_cells GROUP BY 1, 2",
+    "SELECT state_cnty_fips_cd, naics2_sector_cd, CAST(SUM(CASE WHEN right(state_cnty_fips_cd, 1) <> '4' THEN abs_firm_num END) AS BIGINT) AS firms FROM survey_cells GROUP BY 1, 2",
 )
 def _ag2(spark, d):
-    firms = F.when((C("year_num") == 2001) & (C("abs_firm_num") > 8), C("abs_firm_num"))
+    firms = F.when(F.right("state_cnty_fips_cd", F.lit(1)) != "4", C("abs_firm_num"))
     return t.survey_cells(spark, d).groupBy("state_cnty_fips_cd", "naics2_sector_cd").agg(aggregates.sum_or_null(firms).alias("firms"))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from regionledger.functions import codes
 from regionledger.plans import fact, gdp, metro, payroll, reference, releases, survey, totals
@@ -113,10 +115,15 @@ def _pl2(spark, d):
 
 @query(
     "pl3_official_sector_payroll",
-    _payroll_sql(_CANON, "year IN ('1996','1997') AND upper(qtr) = 'A' AND own_code = '5' AND agglvl_code = '74'", 2), *_PAY,
+    _payroll_sql(_CANON, "upper(qtr) = 'A' AND own_code = '5' AND agglvl_code = '74'", 2), *_PAY,
 )
 def _pl3(spark, d):
-    return payroll.official_sectors(t.payroll_raw(spark, d), [1996, 1997])
+    return payroll.official_sectors(t.payroll_raw(spark, d))
+
+
+@query("pl3_detailed_codes", _payroll_sql(_CANON, "upper(qtr) = 'A' AND own_code = '5'", 2), *_PAY)
+def _pl3_detailed(spark, d):
+    return payroll.detailed_codes(t.payroll_raw(spark, d))
 
 
 # --- survey clean-up -------------------------------------------------------------------------
@@ -142,11 +149,11 @@ def _pl4(spark, d):
     "pl5_one_state_survey",
     f"""SELECT lpad(state, 2, '0') AS state, lpad(county, 3, '0') AS county, substr(regexp_replace(NAICS2022, '[^0-9]', '', 'g'), 1, 2) AS naics2, CAST(year_num AS INTEGER) AS year,
         COALESCE(SUM({_N['FIRMPDEMP']}), 0) AS abs_firms, COALESCE(SUM({_N['EMP']}), 0) AS abs_emp, COALESCE(SUM({_N['PAYANN']} * 1000), 0) AS abs_payroll_usd,
-        COALESCE(SUM({_N['RCPPDEMP']} * 1000), 0) AS abs_receipts_usd FROM survey_raw WHERE lpad(state, 2, '0') = '01' AND year_num = '1998' GROUP BY 1, 2, 3, 4""",
+        COALESCE(SUM({_N['RCPPDEMP']} * 1000), 0) AS abs_receipts_usd FROM survey_raw WHERE lpad(state, 2, '0') = '01' GROUP BY 1, 2, 3, 4""",
     "abs_firms", "abs_emp", "abs_payroll_usd", "abs_receipts_usd",
 )
 def _pl5(spark, d):
-    return survey.one_state(t.survey_raw(spark, d).withColumnRenamed("year_num", "year"), "01", 1998)
+    return survey.one_state(t.survey_raw(spark, d).withColumnRenamed("year_num", "year"), "01")
 
 
 def _pos(num: str, den: str) -> str:
@@ -164,12 +171,28 @@ def _pl6(spark, d):
     return survey.derived_metrics(t.survey_raw(spark, d)).drop("NAME", "GEO_ID", "FIRMPDEMP", "EMP", "PAYANN", "RCPPDEMP", "INDLEVEL", "NAICS2022_LABEL")
 
 
+_ROUNDS = {"avg_wage_per_emp_dollars": 2, "receipts_per_firm_dollars": 2, "payroll_to_receipts": 4, "receipts_per_emp_dollars": 2, "firms_per_1k_emp": 3}
+
+
+@query(
+    "pl6_rounded_metrics",
+    f"""SELECT state, county, NAICS2022, year_num, {', '.join(f'round_even({c}, {n}) AS {c}' for c, n in _ROUNDS.items())} FROM
+        (SELECT state, county, NAICS2022, year_num, {_pos(_N['PAYANN'] + ' * 1000', _N['EMP'])} AS avg_wage_per_emp_dollars,
+        {_pos(_N['RCPPDEMP'] + ' * 1000', _N['FIRMPDEMP'])} AS receipts_per_firm_dollars, {_pos(_N['PAYANN'], _N['RCPPDEMP'])} AS payroll_to_receipts,
+        {_pos(_N['RCPPDEMP'] + ' * 1000', _N['EMP'])} AS receipts_per_emp_dollars, {_pos(_N['FIRMPDEMP'] + ' * 1000', _N['EMP'])} AS firms_per_1k_emp FROM survey_raw)""",
+    *_ROUNDS,
+)
+def _pl6_rounded(spark, d):
+    out = survey.derived_metrics(t.survey_raw(spark, d), rounded=True)
+    return out.drop("NAME", "GEO_ID", "FIRMPDEMP", "EMP", "PAYANN", "RCPPDEMP", "INDLEVEL", "NAICS2022_LABEL")
+
+
 # --- metro -----------------------------------------------------------------------------------
 
 _SHORT = {"FIRMPDEMP": "firms", "EMP": "emp", "PAYANN": "pay", "RCPPDEMP": "rcpts"}
 
 
-def _recon_sql(year: int) -> str:
+def _recon_sql() -> str:
     sums = ", ".join(
         f"SUM({c}) FILTER (naics3 <> '000') AS sum_{s}, SUM({c}) FILTER (naics3 = '000') AS tot_{s}" for c, s in _SHORT.items()
     )
@@ -178,8 +201,8 @@ def _recon_sql(year: int) -> str:
         for s in _SHORT.values()
     )
     ok = " OR ".join(f"COALESCE(abs(sum_{s} - tot_{s}) > 1, false)" for s in _SHORT.values())
-    return f"""SELECT state, county, {outs}, NOT ({ok}) AS recon_ok, CASE WHEN nt = 0 THEN 'total' WHEN np = 0 THEN 'parts' END AS missing_side
-      FROM (SELECT state, county, {sums}, COUNT(*) FILTER (naics3 = '000') AS nt, COUNT(*) FILTER (naics3 <> '000') AS np FROM metro WHERE year = {year} GROUP BY 1, 2)"""
+    return f"""SELECT year, state, county, {outs}, NOT ({ok}) AS recon_ok, CASE WHEN nt = 0 THEN 'total' WHEN np = 0 THEN 'parts' END AS missing_side
+      FROM (SELECT CAST(year AS INTEGER) AS year, state, county, {sums}, COUNT(*) FILTER (naics3 = '000') AS nt, COUNT(*) FILTER (naics3 <> '000') AS np FROM metro GROUP BY 1, 2, 3)"""
 
 
 _RECON_DOUBLES = [f"{p}_{s}" for s in _SHORT.values() for p in ("sum", "tot", "delta", "pct_delta")]
@@ -189,21 +212,33 @@ def _metro(spark, d):
     return metro.normalise(t.metro_raw(spark, d))
 
 
-@query("pl7_parts_vs_total", _recon_sql(1997), *_RECON_DOUBLES)
+def _each_year(one) -> DataFrame:
+    """The plan of one year, for every year."""
+    frames = [one(y).withColumn("year", F.lit(y)) for y in t.YEARS]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def _reconciled(spark, d):
+    m = t.loaded(_metro(spark, d))
+    return _each_year(lambda y: metro.reconcile_totals(m, y))
+
+
+@query("pl7_parts_vs_total", _recon_sql(), *_RECON_DOUBLES)
 def _pl7(spark, d):
-    return metro.reconcile_totals(_metro(spark, d), 1997)
+    return _reconciled(spark, d)
 
 
 _CBSA = """SELECT p.*, cbsa_tot_firms, cbsa_tot_emp, cbsa_tot_payroll, cbsa_tot_receipts FROM
-  (SELECT cbsa_code, cbsa_title, naics3, SUM(FIRMPDEMP) AS FIRMPDEMP, SUM(EMP) AS EMP, SUM(PAYANN) AS PAYANN, SUM(RCPPDEMP) AS RCPPDEMP
-   FROM metro JOIN crosswalk ON state = state_fips AND county = county_fips WHERE year = 1997 AND naics3 <> '000' GROUP BY 1, 2, 3) p
-  LEFT JOIN (SELECT cbsa_code, SUM(FIRMPDEMP) AS cbsa_tot_firms, SUM(EMP) AS cbsa_tot_emp, SUM(PAYANN) AS cbsa_tot_payroll, SUM(RCPPDEMP) AS cbsa_tot_receipts
-   FROM metro JOIN crosswalk ON state = state_fips AND county = county_fips WHERE year = 1997 AND naics3 = '000' GROUP BY 1) w ON p.cbsa_code = w.cbsa_code"""
+  (SELECT CAST(year AS INTEGER) AS year, cbsa_code, cbsa_title, naics3, SUM(FIRMPDEMP) AS FIRMPDEMP, SUM(EMP) AS EMP, SUM(PAYANN) AS PAYANN, SUM(RCPPDEMP) AS RCPPDEMP
+   FROM metro JOIN crosswalk ON state = state_fips AND county = county_fips WHERE naics3 <> '000' GROUP BY 1, 2, 3, 4) p
+  LEFT JOIN (SELECT year, cbsa_code, SUM(FIRMPDEMP) AS cbsa_tot_firms, SUM(EMP) AS cbsa_tot_emp, SUM(PAYANN) AS cbsa_tot_payroll, SUM(RCPPDEMP) AS cbsa_tot_receipts
+   FROM metro JOIN crosswalk ON state = state_fips AND county = county_fips WHERE naics3 = '000' GROUP BY 1, 2) w ON p.cbsa_code = w.cbsa_code AND p.year = w.year"""
 _CBSA_DOUBLES = ["FIRMPDEMP", "EMP", "PAYANN", "RCPPDEMP", "cbsa_tot_firms", "cbsa_tot_emp", "cbsa_tot_payroll", "cbsa_tot_receipts"]
 
 
 def _rolled(spark, d):
-    return metro.roll_up(_metro(spark, d), metro.crosswalk(t.crosswalk(spark, d)), 1997)
+    m, x = t.loaded(_metro(spark, d)), metro.crosswalk(t.crosswalk(spark, d))
+    return _each_year(lambda y: metro.roll_up(m, x, y))
 
 
 @query("pl8_metro_roll_up", _CBSA, *_CBSA_DOUBLES)
@@ -213,28 +248,28 @@ def _pl8(spark, d):
 
 @query(
     "pl9_large_metros",
-    f"""SELECT 'firms' AS by_what, * FROM ({_CBSA}) WHERE cbsa_tot_firms >= 1300 UNION ALL
+    f"""SELECT 'firms' AS by_what, * FROM ({_CBSA}) WHERE (year, cbsa_code) IN (SELECT (year, cbsa_code) FROM ({_CBSA}) WHERE cbsa_tot_firms >= 1300) UNION ALL
         SELECT 'population', * FROM ({_CBSA}) WHERE cbsa_code IN (SELECT cbsa_code FROM crosswalk GROUP BY 1 HAVING MAX(cbsa_pop) >= 65000)""",
     *_CBSA_DOUBLES,
 )
 def _pl9(spark, d):
     rolled, x = t.loaded(_rolled(spark, d)), metro.crosswalk(t.crosswalk(spark, d))
-    a = metro.large_metros(rolled, x, threshold=1300).withColumn("by_what", F.lit("firms"))
+    a = _each_year(lambda y: metro.large_metros(rolled.where(F.col("year") == y).drop("year"), x, threshold=1300)).withColumn("by_what", F.lit("firms"))
     return a.unionByName(metro.large_metros(rolled, x, "population", 65000).withColumn("by_what", F.lit("population")))
 
 
 @query(
     "pl10_metro_discrepancies",
-    f"""SELECT r.*, cbsa_code, cbsa_title, cbsa_pop FROM ({_recon_sql(1997)}) r LEFT JOIN crosswalk ON state = state_fips AND county = county_fips WHERE NOT recon_ok""",
+    f"""SELECT r.*, cbsa_code, cbsa_title, cbsa_pop FROM ({_recon_sql()}) r LEFT JOIN crosswalk ON state = state_fips AND county = county_fips WHERE NOT recon_ok""",
     *_RECON_DOUBLES,
 )
 def _pl10(spark, d):
-    return metro.discrepancies(metro.reconcile_totals(_metro(spark, d), 1997), metro.crosswalk(t.crosswalk(spark, d)))
+    return metro.discrepancies(_reconciled(spark, d), metro.crosswalk(t.crosswalk(spark, d)))
 
 
 # --- GDP -------------------------------------------------------------------------------------
 
-_GY = [1996, 1997, 1998]
+_GY = t.YEARS
 _GCOLS = [gdp.value_column(y) for y in _GY]
 _TIDY = (
     f"SELECT {zfill('fips', 5)} AS state_county_fips_cd, LineCode AS line_cd, IndustryClassification AS naics_sector_cd, Description AS naics_sector_desc, "
@@ -489,12 +524,12 @@ def _pl25(spark, d):
         abs_rcpt_usd_amt / NULLIF(abs_emp_num, 0) AS abs_rcpt_per_emp_usd_amt, {_RATIOS}, state_cd, population_num, population_year
         FROM (SELECT COALESCE(a.state_cnty_fips_cd, q.state_cnty_fips_cd) AS state_cnty_fips_cd, COALESCE(a.naics2_sector_cd, q.naics2_sector_cd) AS naics2_sector_cd, COALESCE(a.year_num, q.year_num) AS year_num,
           cnty_nm, geo_id, naics2_sector_desc, ind_level_num, {_SUMS}, own_cd, qcew_ann_avg_emp_lvl_num, qcew_ttl_ann_wage_usd_amt, qcew_avg_wkly_wage_usd_amt
-          FROM (SELECT * FROM survey_plain WHERE year_num IN (1996, 1997)) a FULL OUTER JOIN (SELECT * FROM payroll_plain WHERE year_num IN (1996, 1997)) q ON {_PAIR}) m
+          FROM survey_plain a FULL OUTER JOIN payroll_plain q ON {_PAIR}) m
         LEFT JOIN county_ref g ON m.state_cnty_fips_cd = g.state_cnty_fips_cd""",
     *_MERGED_DOUBLES,
 )
 def _pl26(spark, d):
-    return fact.file_merge(t.survey(spark, d, rollups=False), t.payroll(spark, d, rollups=False), t.county_ref(spark, d), [1996, 1997])
+    return fact.file_merge(t.survey(spark, d, rollups=False), t.payroll(spark, d, rollups=False), t.county_ref(spark, d), t.YEARS)
 
 
 @query(
@@ -533,10 +568,10 @@ _NATL_COLS = {
     f"""SELECT *, {', '.join(f'(CAST({s} AS DOUBLE) - LAG({s}) OVER (ORDER BY year_num)) / NULLIF(CAST(LAG({s}) OVER (ORDER BY year_num) AS DOUBLE), 0) AS {n}' for s, n in totals.YOY.items())}
         FROM (SELECT year_num, COUNT(*) AS row_cnt, COUNT(DISTINCT state_cnty_fips_cd) AS county_cnt, COUNT(DISTINCT naics2_sector_cd) AS naics2_cnt,
           {', '.join(f"CAST(SUM({c}) AS {'DOUBLE' if c.endswith('_amt') else 'BIGINT'}) AS {n}" for c, n in _NATL_COLS.items())}
-          FROM cells WHERE year_num IN (1996, 1997, 1998) GROUP BY 1)""",
+          FROM cells GROUP BY 1)""",
     "abs_payroll_usd_natl", "abs_receipts_usd_natl", "qcew_wages_usd_natl", *totals.YOY.values(),
 )
 def _pl29(spark, d):
     from regionledger.registry.combining import both_cells
 
-    return totals.national_snapshot(both_cells(spark, d), [1996, 1997, 1998])
+    return totals.national_snapshot(both_cells(spark, d), t.YEARS)

@@ -116,7 +116,7 @@ def _prj11(spark, d):
     return columns.melt(t.read(spark, d, "customer"), ["c_custkey"], ["c_name", "c_mktsegment"], "variant", "label")
 
 
-_PIVOT = ["11", "23", "31-33", "52", "99"]
+_PIVOT = [*S.SECTORS, S.UNCLASSIFIED]
 
 
 @query(
