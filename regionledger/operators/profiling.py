@@ -1,8 +1,8 @@
 """Column profiles.
 
-One (field, value) count table feeds counts, distincts, top values, examples,
-lengths and allowed-value checks: the input is read once for all columns and
-combined before the shuffle. Quantiles and moments of numeric columns take their
+One (field, value) count table feeds top values, examples and allowed-value checks:
+the input is read once for all columns and combined before the shuffle. Counts and
+distincts do without the values. Quantiles and moments of numeric columns take their
 own pass.
 """
 
@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from regionledger.operators import aggregates
+from regionledger.functions import exprs
+from regionledger.operators import aggregates, sets
 from regionledger.sources.literals import literal
 
 # Definitions of well-known source columns.
@@ -63,10 +64,6 @@ def numeric_fields(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def text_fields(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in numeric_fields(df)]
-
-
 def dataset_summary(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("row_cnt"), F.lit(len(df.columns)).cast("long").alias("col_cnt")
@@ -83,25 +80,42 @@ def field_values(df: DataFrame) -> DataFrame:
     )
 
 
-def field_counts(values: DataFrame, enum_threshold: int = 60) -> DataFrame:
-    """Count, missing, missing %, distinct and the low-cardinality flag per column."""
-    missing = F.sum(F.when(F.col("value").isNull(), F.col("freq")).otherwise(0))
-    return values.groupBy("name").agg(
-        F.sum("freq").alias("row_cnt"),
-        missing.alias("missing_cnt"),
-        F.round(F.try_divide(missing * F.lit(100.0), F.sum("freq")), 3).alias("missing_pct"),
-        F.count("value").alias("distinct_cnt"),
-    ).withColumn("is_enum_candidate", F.col("distinct_cnt") <= enum_threshold)
+def field_counts(df: DataFrame, enum_threshold: int = 60, approximate: bool = False) -> DataFrame:
+    """Count, missing, missing %, distinct and the low-cardinality flag per column.
+
+    Counts are one aggregate without a shuffle of values. Exact distincts are counted over a
+    128-bit digest of each value, so that no text crosses the network; ``approximate`` sketches
+    them in the same pass as the counts.
+    """
+    if approximate:
+        counts = approximate_counts(df)
+    else:
+        digests = F.array(*[
+            F.struct(F.lit(c).alias("name"), F.when(F.col(c).isNotNull(), F.xxhash64(F.col(c).cast("string"))).alias("h1"),
+                     F.xxhash64(F.lit(1), F.col(c).cast("string")).alias("h2"))
+            for c in df.columns
+        ])
+        distinct = (
+            df.select(F.inline(digests)).where("h1 IS NOT NULL").groupBy("name", "h1", "h2").agg(F.lit(1).alias("one"))
+            .groupBy("name").agg(F.count("one").alias("distinct_cnt"))
+        )
+        counts = approximate_counts(df, distincts=False).join(distinct, "name", "left").withColumn(
+            "distinct_cnt", F.coalesce("distinct_cnt", F.lit(0))
+        )
+    share = F.try_divide(F.col("missing_cnt") * F.lit(100.0), F.col("row_cnt"))
+    return counts.select(
+        "name", "row_cnt", "missing_cnt", exprs.half_even(share, 3).alias("missing_pct"), "distinct_cnt",
+        (F.col("distinct_cnt") <= enum_threshold).alias("is_enum_candidate"),
+    )
 
 
-def approximate_counts(df: DataFrame) -> DataFrame:
-    """Same counts with sketched distincts: one pass, no value shuffle."""
+def approximate_counts(df: DataFrame, distincts: bool = True) -> DataFrame:
+    """Rows, missing and (sketched) distincts per column in one pass."""
+    kinds = ["n", "m", "d"] if distincts else ["n", "m"]
+    titles = {"n": "row_cnt", "m": "missing_cnt", "d": "distinct_cnt"}
     rows = F.array(
         *[
-            F.struct(
-                F.lit(c).alias("name"), F.col(f"n{i}").alias("row_cnt"),
-                F.col(f"m{i}").alias("missing_cnt"), F.col(f"d{i}").alias("distinct_cnt"),
-            )
+            F.struct(F.lit(c).alias("name"), *[F.col(f"{k}{i}").alias(titles[k]) for k in kinds])
             for i, c in enumerate(df.columns)
         ]
     )
@@ -110,7 +124,7 @@ def approximate_counts(df: DataFrame) -> DataFrame:
         aggs += [
             F.count(F.lit(1)).alias(f"n{i}"),
             F.count_if(F.col(c).isNull()).alias(f"m{i}"),
-            F.approx_count_distinct(c).alias(f"d{i}"),
+            *([F.approx_count_distinct(c).alias(f"d{i}")] if distincts else []),
         ]
     return df.agg(*aggs).select(F.inline(rows))
 
@@ -208,10 +222,18 @@ def unexpected_values(values: DataFrame, name: str, allowed: list[str], limit: i
     )
 
 
-def definitions(spark: SparkSession, names: DataFrame, source: str = "") -> DataFrame:
-    """Best definition per column name: source preset, any preset, then name pattern."""
+def names_of(df: DataFrame) -> DataFrame:
+    """The column names, from the schema alone."""
+    return literal(df.sparkSession, [(c,) for c in df.columns], "name string")
+
+
+def definitions(spark: SparkSession, names: DataFrame, source: str = "", given: dict[str, str] | None = None) -> DataFrame:
+    """Best definition per column name: as given, source preset, any preset, then name pattern.
+
+    A description that came with the request wins and has no confidence of its own.
+    """
     source = source.lower()
-    ranked = []
+    ranked = [(n, d, None, "given", 0) for n, d in (given or {}).items() if d]
     if "qcew" in source:
         ranked += [(n, d, 0.98, "preset:qcew", 1) for n, d in PAYROLL_DEFINITIONS.items()]
     if "census" in source or "abs" in source:
@@ -240,13 +262,31 @@ def types_table(df: DataFrame, declared: dict[str, str]) -> DataFrame:
     return t.withColumn("type_match", F.contains("observed_type", F.lower("declared_type")))
 
 
-def flat_profile(df: DataFrame, declared: dict[str, str] | None = None, source: str = "") -> DataFrame:
+def validate(df: DataFrame, fields: dict[str, dict]) -> DataFrame:
+    """The constraints of given fields (min, max, allowed_values) as pass rows.
+
+    A field with other than its allowed values gives a row for each such value, at most 50.
+    """
+    bounds = {c: (f.get("min"), f.get("max")) for c, f in fields.items() if c in df.columns and (f.get("min") is not None or f.get("max") is not None)}
+    rows = [validate_bounds(df, bounds)] if bounds else []
+    listed = {c: f["allowed_values"] for c, f in fields.items() if c in df.columns and f.get("allowed_values") is not None}
+    if listed:
+        values = field_values(df.select(*listed))
+        for c, allowed in listed.items():
+            rows.append(unexpected_values(values, c, allowed).select(
+                "name", F.concat(F.lit("allowed: "), "value").alias("rule"), F.lit(False).alias("passed"), F.col("freq").alias("failed_rows")
+            ))
+    return sets.stack(rows) if rows else literal(df.sparkSession, [], "name string, rule string, passed boolean, failed_rows bigint")
+
+
+def flat_profile(
+    df: DataFrame, declared: dict[str, str] | None = None, source: str = "", given: dict[str, str] | None = None
+) -> DataFrame:
     """One row per column: definition, types, counts, spread, three examples, note."""
     spark = df.sparkSession
     values = field_values(df)
-    counts = field_counts(values)
-    out = types_table(df, declared or {}).join(counts, "name", "left")
-    out = out.join(definitions(spark, counts.select("name"), source), "name", "left")
+    out = types_table(df, declared or {}).join(field_counts(df), "name", "left")
+    out = out.join(definitions(spark, names_of(df), source, given), "name", "left")
     out = out.join(examples(values, 3), "name", "left")
     numeric = numeric_fields(df)
     if numeric:

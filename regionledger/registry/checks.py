@@ -115,18 +115,16 @@ def _dq8(spark, d):
     return quality.coverage(both_cells(spark, d), "abs_firm_num", "qcew_ann_avg_emp_lvl_num")
 
 
-_METRICS = ["abs_wage", "qcew_wage", "rcpt_per_firm"]
+_METRICS = {"abs_wage_per_emp_usd": "abs_wage", "qcew_wage_per_emp_usd": "qcew_wage", "abs_rcpt_per_firm_usd": "rcpt_per_firm"}
 
 
 @query(
     "dq9_distribution_quantiles",
-    " UNION ALL ".join(f"SELECT '{m}' AS name, COUNT({m}) AS value_cnt, quantile_cont({m}, 0.01) AS p1, quantile_cont({m}, 0.05) AS p5, quantile_cont({m}, 0.95) AS p95, quantile_cont({m}, 0.99) AS p99 FROM {_RATIO_VALUES}" for m in _METRICS),
+    " UNION ALL ".join(f"SELECT '{n}' AS name, COUNT({m}) AS value_cnt, quantile_cont({m}, 0.01) AS p1, quantile_cont({m}, 0.05) AS p5, quantile_cont({m}, 0.95) AS p95, quantile_cont({m}, 0.99) AS p99 FROM {_RATIO_VALUES}" for n, m in _METRICS.items()),
     "p1", "p5", "p95", "p99",
 )
 def _dq9(spark, d):
-    long = ratio_values(spark, d).select(*_METRICS).unpivot([], _METRICS, "name", "value")
-    q = aggregates.exact_quantiles(long, "name", "value", [0.01, 0.05, 0.95, 0.99])
-    return q.select("name", "value_cnt", *[C("quantiles")[i].alias(n) for i, n in enumerate(("p1", "p5", "p95", "p99"))])
+    return fact_checks.distribution(both_cells(spark, d))
 
 
 @query(
@@ -135,8 +133,7 @@ def _dq9(spark, d):
        (SELECT *, abs_rcpt_usd_amt / NULLIF(abs_firm_num, 0) AS r FROM cells) WHERE r IS NOT NULL) ORDER BY abs(z) DESC, year_num, state_cnty_fips_cd, naics2_sector_cd LIMIT 20""", "z",
 )
 def _dq9b(spark, d):
-    z = windows.z_scores(ratio_values(spark, d), "rcpt_per_firm").select(*S.FACT_KEY, "z")
-    return ordering.top_k_abs(z, "z", S.FACT_KEY, 20)
+    return fact_checks.outliers(both_cells(spark, d), "abs_rcpt_per_firm_usd")
 
 
 _SUITE_RANGES = {"abs_wage_per_emp_usd": (1500, 3500), "qcew_wage_per_emp_usd": (1300, 1600), "abs_rcpt_per_firm_usd": (0, 90000)}
@@ -254,6 +251,16 @@ def _dq13(spark, d):
     return reconcile.summary(reconcile.combined(_survey_report(spark, d), _payroll_report(spark, d)))
 
 
+@query(
+    "dq13_failing_rows",
+    f"""SELECT 'abs' AS source_system, year_num, state_cnty_fips_cd, naics2_sector_cd FROM ({_RECON_SURVEY}) WHERE NOT pass_all
+        UNION ALL SELECT 'qcew', year_num, state_cnty_fips_cd, naics2_sector_cd FROM ({_RECON_PAYROLL}) WHERE NOT pass_all""",
+)
+def _dq13_failing(spark, d):
+    report = reconcile.combined(_survey_report(spark, d), _payroll_report(spark, d))
+    return reconcile.failures(report).select("source_system", *S.FACT_KEY)
+
+
 # --- export checks ---------------------------------------------------------------------------
 
 
@@ -415,14 +422,14 @@ def _dq23(spark, d):
 
 # --- profiling -------------------------------------------------------------------------------
 
-_CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+_CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 _LONG = " UNION ALL ".join(f"SELECT '{c}' AS name, CAST({c} AS VARCHAR) AS value FROM (SELECT *, CASE WHEN c_custkey % 9 <> 0 THEN c_mktsegment END AS seg FROM customer)".replace("CAST(c_mktsegment", "CAST(seg") for c in _CUSTOMER)
 
 
 def profiled(spark, d):
     """Customers with some segments blanked out."""
     seg = F.when(C("c_custkey") % 9 != 0, C("c_mktsegment"))
-    return t.read(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", seg.alias("c_mktsegment"))
+    return t.read(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", seg.alias("c_mktsegment"))
 
 
 @query("pf1_dataset_summary", "SELECT COUNT(*) AS row_cnt, CAST(6 AS BIGINT) AS col_cnt FROM part")
@@ -430,13 +437,24 @@ def _pf1(spark, d):
     return profiling.dataset_summary(t.read(spark, d, "part"))
 
 
+_COUNTS = "COUNT(*) AS row_cnt, COUNT(*) - COUNT(value) AS missing_cnt, round_even(100.0 * (COUNT(*) - COUNT(value)) / COUNT(*), 3) AS missing_pct"
+
+
 @query(
     "pf2_field_counts",
-    f"SELECT name, COUNT(*) AS row_cnt, COUNT(*) - COUNT(value) AS missing_cnt, 100.0 * (COUNT(*) - COUNT(value)) / COUNT(*) AS missing_pct, COUNT(DISTINCT value) AS distinct_cnt FROM ({_LONG}) GROUP BY 1", "missing_pct",
+    f"SELECT name, {_COUNTS}, COUNT(DISTINCT value) AS distinct_cnt, COUNT(DISTINCT value) <= 60 AS is_enum_candidate FROM ({_LONG}) GROUP BY 1", "missing_pct",
 )
 def _pf2(spark, d):
-    out = profiling.field_counts(profiling.field_values(profiled(spark, d))).drop("is_enum_candidate", "missing_pct")
-    return out.withColumn("missing_pct", C("missing_cnt") * 100.0 / C("row_cnt"))
+    return profiling.field_counts(profiled(spark, d))
+
+
+@query("pf2_approximate_counts", f"SELECT name, {_COUNTS}, true AS near FROM ({_LONG}) GROUP BY 1", "missing_pct")
+def _pf2_approximate(spark, d):
+    """Sketched distincts lie within 15 percent of the exact ones."""
+    exact = profiling.field_counts(profiled(spark, d)).select("name", C("distinct_cnt").alias("exact"))
+    got = profiling.field_counts(profiled(spark, d), approximate=True).join(exact, "name")
+    near = F.abs(C("distinct_cnt") - C("exact")) <= 0.15 * C("exact")
+    return got.select("name", "row_cnt", "missing_cnt", "missing_pct", near.alias("near"))
 
 
 @query(
@@ -448,7 +466,7 @@ def _pf3(spark, d):
     return profiling.top_values(profiling.field_values(profiled(spark, d)))
 
 
-_PNUM = ["p_size", "p_retailprice"]
+_PNUM = ["p_partkey", "p_size", "p_retailprice"]
 
 
 @query(
@@ -476,27 +494,40 @@ def _pf5(spark, d):
        UNION ALL SELECT 'c_mktsegment', 'allowed: ' || c_mktsegment, false, COUNT(*) FROM customer WHERE c_mktsegment NOT IN ('BUILDING','MACHINERY') GROUP BY c_mktsegment""",
 )
 def _pf6(spark, d):
-    df = t.read(spark, d, "customer")
-    bounds = profiling.validate_bounds(df, {"c_acctbal": (0, 10000), "c_nationkey": (None, 24)})
-    extra = profiling.unexpected_values(profiling.field_values(df.select("c_mktsegment")), "c_mktsegment", ["BUILDING", "MACHINERY"])
-    return bounds.unionByName(extra.select("name", F.concat(F.lit("allowed: "), "value").alias("rule"), F.lit(False).alias("passed"), C("freq").alias("failed_rows")))
+    return profiling.validate(t.read(spark, d, "customer"), {
+        "c_acctbal": {"min": 0, "max": 10000}, "c_nationkey": {"max": 24},
+        "c_mktsegment": {"allowed_values": ["BUILDING", "MACHINERY"]}, "absent": {"min": 1},
+    })
 
 
 @query("pf7_low_cardinality", f"SELECT name, COUNT(DISTINCT value) AS distinct_cnt, COUNT(DISTINCT value) <= 60 AS is_enum_candidate FROM ({_LONG}) GROUP BY 1")
 def _pf7(spark, d):
-    return profiling.field_counts(profiling.field_values(profiled(spark, d))).select("name", "distinct_cnt", "is_enum_candidate")
+    return profiling.field_counts(profiled(spark, d)).select("name", "distinct_cnt", "is_enum_candidate")
+
+
+def _text(v: str | None) -> str:
+    return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+_GIVEN = {"own_code": "Owner, as this office codes it.", "unknown_here": "Not a column."}
+_AUTOFILL = [
+    *[(n, profiling.PAYROLL_DEFINITIONS[n], 0.98, "preset:qcew") for n in (
+        "area_fips", "industry_code", "agglvl_code", "year", "qtr", "annual_avg_emplvl", "total_annual_wages", "annual_avg_wkly_wage")],
+    ("own_code", _GIVEN["own_code"], None, "given"), ("NAME", profiling.SURVEY_DEFINITIONS["NAME"], 0.9, "preset:abs"),
+    ("my_wage", "Wage or payroll amount (units likely USD).", 0.6, "heuristic:regex"), ("other", None, 0.0, "none"),
+]
 
 
 @query(
     "pf8_definition_autofill",
-    """SELECT * FROM (VALUES ('area_fips', 0.98, 'preset:qcew'), ('own_code', 0.98, 'preset:qcew'), ('industry_code', 0.98, 'preset:qcew'), ('agglvl_code', 0.98, 'preset:qcew'), ('year', 0.98, 'preset:qcew'),
-       ('qtr', 0.98, 'preset:qcew'), ('annual_avg_emplvl', 0.98, 'preset:qcew'), ('total_annual_wages', 0.98, 'preset:qcew'), ('annual_avg_wkly_wage', 0.98, 'preset:qcew'), ('NAME', 0.9, 'preset:abs'),
-       ('my_wage', 0.6, 'heuristic:regex'), ('other', 0.0, 'none')) v(name, confidence, origin) WHERE EXISTS (SELECT 1 FROM payroll_raw)""", "confidence",
+    "SELECT v.*, (SELECT COUNT(*) FROM payroll_raw) AS row_cnt FROM (VALUES "
+    + ", ".join(f"({_text(n)}, {_text(x)}, CAST({'NULL' if c is None else c} AS DOUBLE), {_text(o)})" for n, x, c, o in _AUTOFILL)
+    + ") v(name, definition, confidence, origin)", "confidence",
 )
 def _pf8(spark, d):
     raw = t.payroll_raw(spark, d).withColumns({"NAME": F.lit("x"), "my_wage": F.lit("1"), "other": F.lit("2")})
-    names = profiling.field_counts(profiling.field_values(raw)).select("name")
-    return profiling.definitions(spark, names, "QCEW annual file").drop("definition")
+    found = profiling.definitions(spark, profiling.names_of(raw), "QCEW annual file", _GIVEN)
+    return found.join(profiling.field_counts(raw, approximate=True).select("name", "row_cnt"), "name")
 
 
 @query(
@@ -507,7 +538,7 @@ def _pf8(spark, d):
 def _pf9(spark, d):
     df = t.read(spark, d, "part")
     kinds = profiling.types_table(df, {"p_partkey": "bigint", "p_name": "string", "p_size": "double"})
-    return kinds.join(profiling.field_counts(profiling.field_values(df)).select("name", "row_cnt"), "name")
+    return kinds.join(profiling.field_counts(df, approximate=True).select("name", "row_cnt"), "name")
 
 
 @query(
