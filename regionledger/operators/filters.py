@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -108,9 +107,3 @@ def national_lines(df: DataFrame, column: str) -> DataFrame:
 def drop_null_rows(df: DataFrame, columns: list[str], how: str) -> DataFrame:
     """``how='all'`` drops fully empty rows, ``how='any'`` incomplete ones."""
     return df.dropna(how=how, subset=columns)
-
-
-def partially_missing(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows with some but not all of the columns null."""
-    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in columns])
-    return df.where(nulls.between(1, len(columns) - 1))

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from regionledger.operators import quality
-
 
 def full_outer(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join with one coalesced copy of each key."""
@@ -33,13 +31,12 @@ def lookup_with_fallback(
 def many_to_one(df: DataFrame, ref: DataFrame, keys: list[str]) -> DataFrame:
     """Left join whose right side must be unique; a repeated key fails the job.
 
-    The check rides on the join itself: the right side is collapsed to one row per
-    key together with its row count, and rows with a count above one raise.
+    The check rides on the join itself: the right side's keys are counted (the keys only, by
+    hash), a count above one raises, and the right side is joined to its counted keys, which
+    shares the exchange on the keys with the join.
     """
-    rest = [c for c in ref.columns if c not in keys]
-    unique = (
-        ref.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), *[F.min(c).alias(c) for c in rest])
+    counted = (
+        ref.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
         .where(
             F.when(F.col("__n") == 1, F.lit(True)).otherwise(
                 F.raise_error(F.lit(f"right side repeats its key {keys}")).cast("boolean")
@@ -47,7 +44,7 @@ def many_to_one(df: DataFrame, ref: DataFrame, keys: list[str]) -> DataFrame:
         )
         .drop("__n")
     )
-    return df.join(unique, keys, "left")
+    return df.join(ref.join(counted, keys), keys, "left")
 
 
 def qualifying(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -92,9 +89,3 @@ def match_rate(df: DataFrame, marker: str = "matched") -> DataFrame:
         F.count_if(F.col(marker)).alias("matched_cnt"),
         F.try_divide(F.count_if(F.col(marker)), F.count(F.lit(1))).alias("match_rate"),
     )
-
-
-def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
-    """Fail fast when a key repeats; returns the same frame."""
-    quality.fail_on_duplicates(df, keys, what)
-    return df

@@ -82,7 +82,8 @@ def survey_cells(spark: SparkSession, d: str) -> DataFrame:
     )
     per_order = (
         lines.join(industries(spark, d), F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("l_orderkey", "naics2_sector_cd")
+        # One exchange serves the sum and the join with orders.
+        .repartition("l_orderkey").groupBy("l_orderkey", "naics2_sector_cd")
         .agg(F.sum("pay").alias("pay"), F.sum("rcpt").alias("rcpt"))
     )
     buyers = read(spark, d, "customer").join(

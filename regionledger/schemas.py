@@ -118,23 +118,6 @@ PAYROLL = T.StructType([
     T.StructField("qcew_avg_wkly_wage_usd_amt", MONEY),
 ])
 
-GDP = T.StructType([
-    T.StructField("year_num", T.IntegerType()),
-    T.StructField("naics2_sector_cd", T.StringType()),
-    T.StructField("state_cnty_fips_cd", T.StringType()),
-    T.StructField("line_cd", T.StringType()),
-    T.StructField("naics2_sector_desc", T.StringType()),
-    T.StructField("gdp_amt", MONEY),
-])
-
-RELEASES = T.StructType([
-    T.StructField("state_cd", T.StringType()),
-    T.StructField("cnty_nm", T.StringType()),
-    T.StructField("state_cnty_fips_cd", T.StringType()),
-    T.StructField("naics2_sector_cd", T.StringType()),
-    T.StructField("tri_ttl_rls_lbs_amt", MONEY),
-])
-
 COUNTY_REF = T.StructType([
     T.StructField("state_cnty_fips_cd", T.StringType()),
     T.StructField("state_cd", T.StringType()),
