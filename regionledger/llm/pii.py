@@ -34,7 +34,7 @@ LABELS = ("other", "email", "ip", "card", "phone", "id")
 KINDS = BASE + tuple(f"crf_{x}" for x in LABELS[1:])
 #: Most words of an entity, and words of context around a trigger.
 MOST = 8
-CONTEXT = 2
+CONTEXT = 3
 FIT_ROWS = 500
 EXAMPLES = 700
 EPOCHS = 12
@@ -88,7 +88,8 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
 
 # Patterns and words of the features.
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_TRIGGER = re.compile(r"[0-9@]|^[\[({<]?dot[\])}>]?$|^\(at\)$|^\[at\]$", re.I)
+_TRIGGER = re.compile(r"[0-9@]|[\[({<](dot|at)[\])}>]|^dot$", re.I)
+_JOINT = re.compile(r"[\[({<]?(dot|at|@)[\])}>]?", re.I)
 _SHAPES = tuple(re.compile(p, re.I) for p in (
     r"[a-z0-9._%+-]+@[a-z0-9-]+(\.[a-z0-9-]+)+",
     r"[a-z0-9._%+-]+ ?[\[({<]?(at|@)[\])}>]? ?[a-z0-9-]+( ?[\[({<]?(dot|\.)[\])}>]? ?[a-z0-9-]+)+",
@@ -115,7 +116,7 @@ _CUES = (
 )
 _DIGIT_STEPS = (0, 3, 6, 9, 12, 15, 19)
 _EDGE = ".,;:!?()[]{}<>\"'"
-N_FEATURES = 1 + 3 + len(_DIGIT_STEPS) + len(_SHAPES) + 3 + len(_CUES)
+N_FEATURES = 1 + 3 + len(_DIGIT_STEPS) + len(_SHAPES) + 3 + len(_CUES) + 2
 
 
 def tokens(t: str, begin: int = 0, end: int | None = None) -> list[tuple[int, int]]:
@@ -155,6 +156,12 @@ def features(t: str, words: list[tuple[int, int]], i: int, j: int) -> list[int]:
     at += 3
     before = {t[x:y].lower() for x, y in words[max(0, i - 3) : i]}
     out += [at + k for k, c in enumerate(_CUES) if before & c]
+    at += len(_CUES)
+    # An address that is spelled out goes on beside the span.
+    if j < len(words) and _JOINT.fullmatch(t, *words[j]):
+        out.append(at)
+    if i and _JOINT.fullmatch(t, *words[i - 1]):
+        out.append(at + 1)
     return out
 
 

@@ -62,7 +62,9 @@ def subwords(w: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     found, owner = [words.mix(distinct, 21)], [np.arange(len(distinct))]
     word = np.repeat(np.arange(len(distinct)), wide)
     for n in GRAMS:
-        h = np.zeros(max(0, len(data) - n + 1), np.uint64)
+        if len(data) < n:
+            continue
+        h = np.zeros(len(data) - n + 1, np.uint64)
         for j in range(n):
             h = h * np.uint64(0x100000001B3) + data[j : len(data) - n + 1 + j]
         ok = left[: len(h)] >= n
