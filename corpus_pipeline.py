@@ -22,7 +22,7 @@ ORACLE_SQL = None
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the list is learned from the labels of the stage's own input."""
     rules = quality.fit(docs, registry.table(spark, sf_dir, "labels"))
-    judged = quality.apply(docs.select("*", F.struct(*docs.columns).alias("row")), rules, keep=["row"])
+    judged = quality.apply(docs.select("text", F.struct(*docs.columns).alias("row")), rules, keep=["row"])
     return judged.where("kept").select("row.*")
 
 

@@ -40,13 +40,15 @@ FEATURES = {
 }
 
 
-def statistics(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def statistics(docs: DataFrame, text: str = "text", keep: list[str] | None = None, barrier: str | None = None) -> DataFrame:
     """Columns `keep` and the statistics of `text`, row by row, without a shuffle.
 
     n_words; word_chars, code points in words; n_symbols, n_upper (A-Z) and n_marks
     (`!?.,;:`), characters; n_lines with a word and n_dup_lines, those equal to an
     earlier line; n_distinct words; n_repeat_words, words inside three-word windows that
-    occur twice or more in the text, the first included.
+    occur twice or more in the text, the first included. `barrier` names a further column that
+    is not deterministic: a filter that uses it is not pushed below the statistics, where it
+    would repeat their expressions many times over.
     """
     keep = keep if keep is not None else ["doc_id"]
     t = docs.select(
@@ -78,6 +80,7 @@ def statistics(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
     removed = lambda chars: F.length("t") - F.length(F.translate("t", chars, ""))
     long = lambda c: c.cast("long")
     return t.select(
+        *([F.monotonically_increasing_id().alias(barrier)] if barrier else []),
         *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
         long(F.col("n")).alias("n_words"),
         long(F.length(F.translate("t", " \t\n\x0b\x0c\r", ""))).alias("word_chars"),
@@ -242,8 +245,9 @@ def apply(docs: DataFrame, rules: list[Rule], keep: list[str] | None = None) ->
     """Statistics, `base_failed`, `kept` and `rule` of every row."""
     good, fired = verdict(rules)
     return (
-        statistics(docs, keep=keep)
+        statistics(docs, keep=keep, barrier="_at")
         .withColumn("base_failed", base_failed())
         .withColumn("rule", fired)
-        .withColumn("kept", ~F.col("base_failed") & good)
+        .withColumn("kept", ~F.col("base_failed") & good & (F.col("_at") >= 0))
+        .drop("_at")
     )
