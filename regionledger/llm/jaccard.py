@@ -43,6 +43,7 @@ from regionledger.sources import scratch
 #: 1 / COUNTERS of all set members are get to the end of the order.
 COUNTERS = 1 << 22
 MAX_CELLS = 1 << 28
+PARTS = 64
 #: Lists of up to so many classes give all their pairs.
 SHORT_LIST = 16
 #: Cost of looking at a list's entry, as a part of the cost of posting a key.
@@ -105,7 +106,8 @@ def _counted(k: int, counters: int):
             none = [None] * len(ids)
             yield pa.RecordBatch.from_pydict({"doc_id": ids, "fp": batch.column("fp"), "cls": prints, "n": sizes, "part": none, "counts": none}, kinds)
         pack = zstandard.ZstdCompressor(1)
-        step = max(1, counters // 8)
+        # Small parts, so that many tasks share the merging of many tasks' counts.
+        step = max(1, counters // PARTS)
         for row in range(sketch.DEPTH):
             for p in range(0, counters, step):
                 part = sums[row, p : p + step]
