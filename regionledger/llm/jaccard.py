@@ -26,13 +26,14 @@ result. Columns other than id and text are not read. Shingles and sets are told
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regionledger.llm import sketch, words
@@ -319,11 +320,28 @@ def verified(texts: DataFrame, pairs: DataFrame, like: Likeness, max_cells: int
     return scratch.materialise(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"))
 
 
+@contextlib.contextmanager
+def _small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Fewer rows per Arrow batch for the jobs inside, which move whole texts and sets."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before) if int(before) > 0 else rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def join(docs: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(members, links): doc_id, fp (a hash of the text), cls and n of every row, and the verified links of classes (a, b).
 
     Links suffice to connect whatever is linked; of a group of near copies not all are listed.
     """
+    with _small_batches(docs.sparkSession):
+        return _join(docs, like, doc_id, text)
+
+
+def _join(docs: DataFrame, like: Likeness, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("fp"), F.col(text).alias("text"))
     first = scratch.materialise(texts.mapInArrow(_counted(like.k, COUNTERS), "doc_id long, fp long, cls long, n long, part int, counts binary"))

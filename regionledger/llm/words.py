@@ -125,22 +125,26 @@ class Words:
                 yield np.empty(0, np.uint64)
 
 
+#: Rows that are looked at together, so that no copy of a whole batch is made.
+SLICE_ROWS = 256
+
+
 def chunks(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Iterator[tuple[int, int, Words]]:
     """(from, to, words of the texts from..to), in order; a null text has no words."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    if not len(column):
-        return
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
-    at = 0
-    while at < len(column):
-        to = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1
-        to = min(max(to, at + 1), len(column))
-        part = data[offsets[at] : offsets[to]]
-        yield at, to, Words(part, offsets[at : to + 1] - offsets[at], lower)
-        at = to
+    for begin in range(0, len(column), SLICE_ROWS):
+        part = column.slice(begin, SLICE_ROWS)
+        if isinstance(part, pa.ChunkedArray):
+            part = part.combine_chunks()
+        part = part.fill_null("").cast(pa.large_string())
+        offsets = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
+        data = np.frombuffer(part.buffers()[2] or b"", np.uint8)
+        at = 0
+        while at < len(part):
+            to = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1
+            to = min(max(to, at + 1), len(part))
+            piece = data[offsets[at] : offsets[to]]
+            yield begin + at, begin + to, Words(piece, offsets[at : to + 1] - offsets[at], lower)
+            at = to
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
