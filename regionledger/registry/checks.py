@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from regionledger import schemas as S
 from regionledger.functions import exprs
-from regionledger.operators import aggregates, ordering, profiling, quality, sets, windows
+from regionledger.operators import aggregates, profiling, quality, sets, windows
 from regionledger.plans import fact_checks, payroll, reconcile, sanity, totals
 from regionledger.registry import tables as t
 from regionledger.registry.combining import both_cells
 from regionledger.registry.core import query
 from regionledger.registry.ctes import NUMBER, SECTOR_LIST, number, sector_case
 from regionledger.registry.plans import fact_frame
+from regionledger.sources import scratch, writers
 
 C = F.col
 _CELL = "year_num, state_cnty_fips_cd, naics2_sector_cd"
@@ -317,6 +318,22 @@ def _dq14(spark, d):
     return sanity.run(t.loaded(t.export_text(spark, d)), sectors, t.county_ref(spark, d), t.YEARS[:6], 25, 21)
 
 
+@query(
+    "dq14_export_file_gate",
+    f"""SELECT * FROM (VALUES ('fact: file exists', 'ERROR', true, CAST(0 AS BIGINT), 'found'), ('fact: file non-empty', 'ERROR', true, CAST(0 AS BIGINT), 'header read'),
+        ('fact: rows parse cleanly', 'ERROR', true, CAST(0 AS BIGINT), 'rows with more cells than the header'), ('absent: file exists', 'ERROR', false, CAST(1 AS BIGINT), 'no such file')) h("check", severity, passed, failed_rows, detail)
+        UNION ALL {_ROW_CHECKS}""",
+)
+def _dq14_gate(spark, d):
+    """The export is written, read back through the file checks, and its rows are checked then."""
+    path = scratch.folder(spark)
+    writers.write_csv(t.export_text(spark, d), f"{path}/fact.csv")
+    df, found = sanity.load_checked(spark, f"{path}/fact.csv", "fact")
+    _, absent = sanity.load_checked(spark, f"{path}/absent.csv", "absent")
+    checked = sanity.row_checks(sanity.canonical(df, sanity.FACT_NAMES)[0], t.YEARS[:6])
+    return sets.stack([found, absent, checked])
+
+
 @query(
     "dq15_combined_key",
     """SELECT FIPS_STATE AS state_fips, FIPS_COUNTY AS county_fips, lpad(FIPS_STATE, 2, '0') || lpad(FIPS_COUNTY, 3, '0') AS state_cnty_fips_cd, COUNT(*) AS row_cnt FROM facilities_raw GROUP BY 1, 2, 3""",

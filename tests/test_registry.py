@@ -9,14 +9,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from regionledger import registry
 from tools.check import TABLES, plain
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = [
     "pl23_benchmark_fact", "pl22_state_totals", "jn1_full_outer_sources", "dq10_reconcile_survey", "dq11_reconcile_payroll",
-    "dq14_export_sanity_suite", "pf11_flat_profile", "wn9_percentile_bin", "ag16_exact_quantiles", "src5_ragged_tsv", "snk2_years_stacked",
+    "dq14_export_sanity_suite", "pf11_flat_profile", "wn9_percentile_bin", "ag16_exact_quantiles", "src5_ragged_tsv", "src13_csv_after_preamble", "snk2_years_stacked", "snk5_latest_run",
+    "pf2_field_counts", "pf8_definition_autofill", "so7_integer_gaps", "so8_overrides_win", "jn10_outer_compare",
 ]
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
 CHOSEN = sorted(QUERIES) if os.environ.get("REGIONLEDGER_ALL") else SAMPLE
 
 
@@ -28,6 +30,11 @@ def duck():
     return con
 
 
+def test_entry_registers_the_library():
+    assert set(QUERIES) <= set(entry.queries())
+    assert all(entry.oracle_sql()[n] == sql for n, sql in ORACLE.items())
+
+
 def test_every_query_has_a_twin_and_every_operator_a_query():
     assert set(QUERIES) == set(ORACLE)
     sizes = dict(src=13, snk=8, prj=15, flt=20, jn=16, ag=24, wn=12, st=5, so=8, sc=28, pl=29, dq=23, pf=11)
