@@ -36,6 +36,7 @@ KINDS = BASE + tuple(f"crf_{x}" for x in LABELS[1:])
 MOST = 8
 CONTEXT = 3
 FIT_ROWS = 500
+LONGEST = 1 << 16
 EXAMPLES = 700
 EPOCHS = 12
 
@@ -361,8 +362,11 @@ def spans(t: str, weights: np.ndarray, moves: np.ndarray) -> list[tuple[int, int
 
 
 def fit(docs: DataFrame, text: str = "text", rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """The field, trained on words of at most `rows` documents chosen by a hash of the text."""
-    t = docs.select(F.substring(F.coalesce(F.col(text), F.lit("")), 1, 2000).alias("t")).where("t != ''")
+    """The field, trained on words of at most `rows` documents chosen by a hash of the text.
+
+    Texts of more than `LONGEST` bytes are not in the sample; all are scanned.
+    """
+    t = docs.select(F.col(text).alias("t")).where(f"t != '' AND octet_length(t) <= {LONGEST}")
     return train([r["t"] for r in sample.smallest_hashes(t, "t", rows).collect()])
 
 
