@@ -51,8 +51,9 @@ def normalise(raw: DataFrame, sector: str = "NAICS2022", label: str = "NAICS2022
         money("PAYANN").alias("abs_payroll_usd_amt"),
         money("RCPPDEMP").alias("abs_rcpt_usd_amt"),
     )
+    # Divided as doubles, as the source does: a decimal quotient would be rounded twice.
     per = lambda den: exprs.half_even(
-        exprs.safe_ratio(F.col("abs_rcpt_usd_amt"), F.col(den)), 6
+        exprs.safe_ratio(F.col("abs_rcpt_usd_amt").cast("double"), F.col(den).cast("double")), 6
     ).cast(S.MONEY)
     return base.withColumns(
         {"abs_rcpt_per_emp_usd_amt": per("abs_emp_num"), "abs_rcpt_per_firm_usd_amt": per("abs_firm_num")}
