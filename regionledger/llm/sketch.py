@@ -56,8 +56,9 @@ def bits(lists: DataFrame, cells: int, least: int) -> list[np.ndarray]:
             for row, s, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 have = sums.setdefault((row, s), np.zeros(size, np.uint8))
                 at = np.cumsum(np.frombuffer(unpack.decompress(blob), np.uint32), dtype=np.int64)
-                once = np.minimum(np.bincount(at, minlength=size), 2).astype(np.uint8)
-                np.minimum(have + once, 2, out=have)
+                # Only the listed cells are touched, however short a list is.
+                at, times = np.unique(at, return_counts=True)
+                have[at] = np.minimum(have[at] + np.minimum(times, 2), 2)
         yield pa.RecordBatch.from_pydict({
             "row": [r for r, _ in sums], "slice": [s for _, s in sums],
             "blob": [np.packbits(v >= least, bitorder="little").tobytes() for v in sums.values()],
