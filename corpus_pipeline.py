@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, its values changed or not, go."""
-    return templates.clean(docs, registry.table(spark, sf_dir, "benchmark"))
+    return templates.clean(docs, registry.table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

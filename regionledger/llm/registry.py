@@ -72,7 +72,7 @@ def op4_semi_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items that it leaks, values changed or not."""
     docs = table(spark, sf_dir, "documents")
-    found = templates.matches(docs, table(spark, sf_dir, "benchmark"))
+    found = templates.matches(docs, table(spark, sf_dir, "benchmark"), whole=True)
     return templates.mark(docs, found, keep=["doc_id"]).select(
         "doc_id", (F.size("items") > 0).alias("contaminated"), F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("item_ids"), "copied"
     )

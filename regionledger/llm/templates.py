@@ -10,8 +10,11 @@ other numbers and names is found, and unrelated text that only shares the word p
 A benchmark of any size is used: its windows' bits (bounded) are sent to the tasks so that only
 likely windows leave them, and what leaves is joined exactly.
 
+With `whole` (the queries), windows are also keyed by their lower-cased words, values included, so copies
+count in any case and at any share of literal words, alone or beside windows with other values.
+
 An item with fewer than `k` words is one window of its own length. Windows in which under half of
-the words are literal are no evidence. Null or blank texts and items match nothing; items or
+the words are literal are no evidence if their values differ. Null or blank texts and items match nothing; items or
 documents that are repeated, or have null ids, count as rows of their own (results are
 per text). Empty tables give no matches. Columns other than id and text are not read.
 """
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regionledger.llm import sketch, words
@@ -77,38 +80,54 @@ class Templates:
         unit = after & np.isin(own, units)
         upper = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
         name = upper & ~number & ~unit & ~np.isin(own, plain)
+        self.own = own
         self.slots = np.where(number | unit | name, own, np.uint64(0))
         self.tokens = np.select([number, unit, name], [NUMBER, UNIT, NAME], own)
         self.words = w
 
-    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of windows that are evidence, and their fingerprints."""
-        prints, ok = self.words.sequences(k, hashes=self.tokens)
+    def windows(self, k: int, whole: bool) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
+        """Whether windows are keyed by their own words, their positions, keys and fingerprints of their words.
+
+        Those keyed by template are at least half literal; of the others, those without values are the same.
+        """
+        prints, inside = self.words.sequences(k, hashes=self.tokens)
+        own, _ = self.words.sequences(k, hashes=self.own)
         literal = np.append(0, np.cumsum(self.slots == 0))
-        n = len(ok)
-        ok[: max(0, n - k + 1)] &= 2 * (literal[k:] - literal[:-k])[: max(0, n - k + 1)] >= k
-        at = np.flatnonzero(ok)
-        return at, prints[at]
+        share = np.zeros(len(inside), np.int64)
+        m = max(0, len(inside) - k + 1)
+        share[:m] = (literal[k:] - literal[:-k])[:m]
+        at = np.flatnonzero(inside & (2 * share >= k))
+        yield False, at, prints[at], own[at]
+        if whole:
+            at = np.flatnonzero(inside & (share < k))
+            yield True, at, own[at], own[at]
 
 
-_WINDOWS = "print long, a long, b long, pos int, n int, slots array<long>"
+_WINDOWS = "print long, a long, b long, pos int, n int, exact boolean, own_print long, slots array<long>, seen array<long>"
 
 
-def _rows(t: Templates, at: np.ndarray, prints: np.ndarray, k: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+def _rows(
+    t: Templates, exact: bool, at: np.ndarray, prints: np.ndarray, own: np.ndarray, k: int, a: np.ndarray, b: np.ndarray, item: bool
+) -> pa.RecordBatch:
     w = t.words
     text = np.searchsorted(w.first, at, "right") - 1
-    slots = t.slots[at[:, None] + np.arange(k)].view(np.int64)
-    values = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * k), pa.array(slots.ravel()))
+    lists = lambda x: pa.ListArray.from_arrays(
+        pa.array(np.arange(len(at) + 1, dtype=np.int32) * k), pa.array(x[at[:, None] + np.arange(k)].view(np.int64).ravel())
+    )
+    none = pa.nulls(len(at), pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays(
         [pa.array(prints.view(np.int64)), pa.array(a[text]), pa.array(b[text]), pa.array((at - w.first[text]).astype(np.int32)),
-         pa.array(np.diff(w.first)[text].astype(np.int32)), values],
-        ["print", "a", "b", "pos", "n", "slots"],
+         pa.array(np.diff(w.first)[text].astype(np.int32)), pa.array(np.full(len(at), exact)), pa.array(own.view(np.int64)),
+         lists(t.slots) if item else none, none if item else lists(t.own)],
+        ["print", "a", "b", "pos", "n", "exact", "own_print", "slots", "seen"],
     )
 
 
-def windows(texts: DataFrame, k: int, lengths: list[int], bits=None, cells: int = 0) -> DataFrame:
+def windows(texts: DataFrame, k: int, lengths: list[int], bits=None, cells: int = 0, whole: bool = False) -> DataFrame:
     """Template windows of a table (a, b, text): of `k` words, and of each of `lengths`.
 
+    Items list `slots`, the values of their slots (0: literal), documents `seen`, all words.
+
     A shorter window must be the whole text if there are no bits yet (a benchmark item);
     with bits, only windows whose bits are set are listed.
     """
@@ -120,28 +139,31 @@ def windows(texts: DataFrame, k: int, lengths: list[int], bits=None, cells: int
             for i, j, w in words.chunks(batch.column("text"), lower=True):
                 t = Templates(w, lists)
                 for length in [k, *lengths]:
-                    at, prints = t.windows(length)
-                    if bits is not None:
-                        m = sketch.holds(bits.value, prints, cells)
-                    else:
-                        m = (length == k) | (w.counts[np.searchsorted(w.first, at, "right") - 1] == length)
-                    if m.any():
-                        yield _rows(t, at[m], prints[m], length, a[i:j], b[i:j])
+                    for exact, at, prints, own in t.windows(length, whole):
+                        if bits is not None:
+                            m = sketch.holds(bits.value, prints, cells)
+                        else:
+                            m = (length == k) | (w.counts[np.searchsorted(w.first, at, "right") - 1] == length)
+                        if m.any():
+                            yield _rows(t, exact, at[m], prints[m], own[m], length, a[i:j], b[i:j], bits is None)
 
     return texts.mapInArrow(of, _WINDOWS)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", k: int = K, cover: float = COVER) -> DataFrame:
+def matches(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", k: int = K, cover: float = COVER, whole: bool = False
+) -> DataFrame:
     """(a, b, item, offset, covered, words, same): consistent alignments of items with texts.
 
     a and b are two hashes of the document's text; `same` tells whether every slot has the
-    benchmark's own value (a plain copy).
+    benchmark's own value (a plain copy). Windows keyed by template decide alone or together with those
+    keyed by their words (`whole`), so the latter can only add alignments.
     """
     spark = docs.sparkSession
     t = docs.select(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), F.col(text).alias("text"))
     items = benchmark.select(F.monotonically_increasing_id().alias("a"), F.col(item_id).cast("long").alias("item"), F.col("text"))
     items = scratch.materialise(items)
-    of_items = scratch.materialise(windows(items.select("a", F.lit(0).cast("long").alias("b"), "text"), k, list(range(1, k))))
+    of_items = scratch.materialise(windows(items.select("a", F.lit(0).cast("long").alias("b"), "text"), k, list(range(1, k)), whole=whole))
     lengths = [r[0] for r in of_items.where(F.col("n") < k).select("n").distinct().collect()]
     n = of_items.count()
     cells = sketch.cells_for(n, MAX_CELLS)
@@ -151,27 +173,44 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
             yield sketch.listed(batch.column("print").to_numpy().view(np.uint64), cells)
 
     bits = spark.sparkContext.broadcast(sketch.bits(of_items.select("print").distinct().mapInArrow(listed, sketch.LISTED), cells, 1))
-    found = windows(t, k, lengths, bits, cells)
+    found = windows(t, k, lengths, bits, cells, whole)
     # Copies of a text count once, before anything is joined.
-    found = scratch.materialise(found.groupBy("print", "a", "b", "pos").agg(F.first("slots").alias("seen")))
+    found = scratch.materialise(found.groupBy("print", "a", "b", "pos").agg(F.first("seen").alias("seen"), F.first("own_print").alias("seen_print")))
     pairs = found.join(
-        of_items.select("print", F.col("a").alias("row"), F.col("pos").alias("at"), F.col("n").alias("words"), F.col("slots").alias("own")), "print"
+        of_items.select(
+            "print", F.col("a").alias("row"), F.col("pos").alias("at"), F.col("n").alias("words"), "exact", "own_print", F.col("slots").alias("own")
+        ),
+        "print",
     )
-    length = F.size("own")
     slots = F.filter(F.arrays_zip("own", "seen"), lambda x: x["own"] != 0)
+    own = F.col("own_print") == F.col("seen_print")
+    listed_at = lambda x: F.sort_array(F.collect_set(x("at")))
+    values_of = lambda x: F.array_distinct(F.flatten(F.collect_set(x(slots))))
+    template = lambda x: F.when(~F.col("exact"), x)
+    every = lambda x: F.col(x) if isinstance(x, str) else x
     aligned = pairs.groupBy("a", "b", "row", "words", (F.col("pos") - F.col("at")).alias("offset")).agg(
-        F.sort_array(F.collect_set("at")).alias("at"), F.max(length).alias("k"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("s")
+        F.max(F.size("own")).alias("k"),
+        *[
+            F.struct(listed_at(x).alias("at"), values_of(x).alias("s"), F.min(x(own)).alias("same")).alias(name)
+            for name, x in (("template", lambda c: template(every(c))), ("every", every))
+        ],
     )
-    covered = F.expr("aggregate(transform(at, (x, i) -> least(k, coalesce(get(at, i + 1) - x, k))), 0, (s, x) -> s + x)")
-    values = lambda c: F.size(F.array_distinct(F.transform("s", lambda x: x[c])))
+    covered = F.expr("aggregate(transform(e.at, (x, i) -> least(k, coalesce(get(e.at, i + 1) - x, k))), 0, (s, x) -> s + x)")
     return (
-        aligned.withColumn("covered", covered)
-        .where((F.col("covered") >= cover * F.col("words")) & (values("own") == F.size("s")) & (values("seen") == F.size("s")))
+        aligned.withColumn("e", F.explode(F.array("template", "every") if whole else F.array("template")))
+        .withColumn("covered", covered)
+        .where((F.col("covered") >= cover * F.col("words")) & _consistent(F.col("e.s")))
         .join(items.select(F.col("a").alias("row"), "item"), "row")
-        .select("a", "b", "item", "offset", "covered", "words", F.forall("s", lambda x: x["own"] == x["seen"]).alias("same"))
+        .select("a", "b", "item", "offset", "covered", "words", "e.same")
     )
 
 
+def _consistent(s: Column) -> Column:
+    """Whether a benchmark value always stands for the same document value and the other way round."""
+    values = lambda c: F.size(F.array_distinct(F.transform(s, lambda x: x[c])))
+    return (values("own") == F.size(s)) & (values("seen") == F.size(s))
+
+
 def mark(docs: DataFrame, found: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns `keep` of every row with `items`, the sorted distinct items that it leaks, and `copied`."""
     keep = docs.columns if keep is None else keep
@@ -180,8 +219,8 @@ def mark(docs: DataFrame, found: DataFrame, text: str = "text", keep: list[str]
     return rows.join(leaks, ["a", "b"], "left").select("row.*", F.coalesce("items", F.expr("CAST(array() AS array<bigint>)")).alias("items"), "copied")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", k: int = K, cover: float = COVER) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", k: int = K, cover: float = COVER, whole: bool = False) -> DataFrame:
     """The rows of `docs` that leak no item."""
-    found = scratch.materialise(matches(docs, benchmark, text, k=k, cover=cover).select("a", "b").distinct())
+    found = scratch.materialise(matches(docs, benchmark, text, k=k, cover=cover, whole=whole).select("a", "b").distinct())
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
     return rows.join(found, ["a", "b"], "left_anti").select("row.*")
