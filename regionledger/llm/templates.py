@@ -11,7 +11,9 @@ A benchmark of any size is used: its windows' bits (bounded) are sent to the tas
 likely windows leave them, and what leaves is joined exactly.
 
 With `whole` (the queries), windows are also keyed by their lower-cased words, values included, so copies
-count in any case and at any share of literal words, alone or beside windows with other values.
+count in any case and at any share of literal words, alone or beside windows with other values. Texts are then
+also read in a second way, in which neighbouring names, and neighbouring numbers with their units, are one
+placeholder that holds the whole value, so that values of other lengths shift nothing.
 
 An item with fewer than `k` words is one window of its own length. Windows in which under half of
 the words are literal are no evidence if their values differ. Null or blank texts and items match nothing; items or
@@ -21,6 +23,7 @@ per text). Empty tables give no matches. Columns other than id and text are not
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,15 +86,37 @@ class Templates:
         self.own = own
         self.slots = np.where(number | unit | name, own, np.uint64(0))
         self.tokens = np.select([number, unit, name], [NUMBER, UNIT, NAME], own)
-        self.words = w
+        self.words, self.runs = w, False
+
+    def collapsed(self) -> Templates:
+        """The same texts with each run of names, or of numbers and units, as one word."""
+        out = copy.copy(self)
+        w, n = self.words, len(self.own)
+        name, unit = self.tokens == NAME, self.tokens == UNIT
+        kind = np.where(self.slots == 0, 0, np.where(name, 1, 2))
+        begin = np.ones(n, bool)
+        begin[1:] = (kind[1:] == 0) | (kind[1:] != kind[:-1])
+        begin[w.first[:-1][w.counts > 0]] = True
+        at = np.flatnonzero(begin)
+        size = np.diff(np.append(at, n))
+        values = words.spanned(self.own, at, size)
+        slot = kind[at] > 0
+        units = np.append(0, np.cumsum(unit))
+        token = np.where(kind[at] == 1, NAME, np.where(units[at + size] > units[at], UNIT, NUMBER))
+        out.own = values
+        out.slots = np.where(slot, values, np.uint64(0))
+        out.tokens = np.where(slot, token, values)
+        out.words, out.runs = copy.copy(w), True
+        out.words.first = np.searchsorted(at, w.first)
+        return out
 
     def windows(self, k: int, whole: bool) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
         """Whether windows are keyed by their own words, their positions, keys and fingerprints of their words.
 
         Those keyed by template are at least half literal; of the others, those without values are the same.
         """
-        prints, inside = self.words.sequences(k, hashes=self.tokens)
-        own, _ = self.words.sequences(k, hashes=self.own)
+        prints, inside = self.words.sequences(k, seed=int(self.runs), hashes=self.tokens)
+        own, _ = self.words.sequences(k, seed=int(self.runs), hashes=self.own)
         literal = np.append(0, np.cumsum(self.slots == 0))
         share = np.zeros(len(inside), np.int64)
         m = max(0, len(inside) - k + 1)
@@ -103,7 +128,7 @@ class Templates:
             yield True, at, own[at], own[at]
 
 
-_WINDOWS = "print long, a long, b long, pos int, n int, exact boolean, own_print long, slots array<long>, seen array<long>"
+_WINDOWS = "print long, a long, b long, pos int, n int, runs boolean, exact boolean, own_print long, slots array<long>, seen array<long>"
 
 
 def _rows(
@@ -117,9 +142,10 @@ def _rows(
     none = pa.nulls(len(at), pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays(
         [pa.array(prints.view(np.int64)), pa.array(a[text]), pa.array(b[text]), pa.array((at - w.first[text]).astype(np.int32)),
-         pa.array(np.diff(w.first)[text].astype(np.int32)), pa.array(np.full(len(at), exact)), pa.array(own.view(np.int64)),
+         pa.array(np.diff(w.first)[text].astype(np.int32)), pa.array(np.full(len(at), t.runs)), pa.array(np.full(len(at), exact)),
+         pa.array(own.view(np.int64)),
          lists(t.slots) if item else none, none if item else lists(t.own)],
-        ["print", "a", "b", "pos", "n", "exact", "own_print", "slots", "seen"],
+        ["print", "a", "b", "pos", "n", "runs", "exact", "own_print", "slots", "seen"],
     )
 
 
@@ -138,14 +164,15 @@ def windows(texts: DataFrame, k: int, lengths: list[int], bits=None, cells: int
             a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
             for i, j, w in words.chunks(batch.column("text"), lower=True):
                 t = Templates(w, lists)
-                for length in [k, *lengths]:
-                    for exact, at, prints, own in t.windows(length, whole):
-                        if bits is not None:
-                            m = sketch.holds(bits.value, prints, cells)
-                        else:
-                            m = (length == k) | (w.counts[np.searchsorted(w.first, at, "right") - 1] == length)
-                        if m.any():
-                            yield _rows(t, exact, at[m], prints[m], own[m], length, a[i:j], b[i:j], bits is None)
+                for t in (t, t.collapsed()) if whole else (t,):
+                    for length in [k, *lengths]:
+                        for exact, at, prints, own in t.windows(length, whole):
+                            if bits is not None:
+                                m = sketch.holds(bits.value, prints, cells)
+                            else:
+                                m = (length == k) | (t.words.counts[np.searchsorted(t.words.first, at, "right") - 1] == length)
+                            if m.any():
+                                yield _rows(t, exact, at[m], prints[m], own[m], length, a[i:j], b[i:j], bits is None)
 
     return texts.mapInArrow(of, _WINDOWS)
 
@@ -155,6 +182,8 @@ def matches(
 ) -> DataFrame:
     """(a, b, item, offset, covered, words, same): consistent alignments of items with texts.
 
+    With `whole`, offset, covered and words of some alignments are in placeholders, each a whole value.
+
     a and b are two hashes of the document's text; `same` tells whether every slot has the
     benchmark's own value (a plain copy). Windows keyed by template decide alone or together with those
     keyed by their words (`whole`), so the latter can only add alignments.
@@ -178,7 +207,8 @@ def matches(
     found = scratch.materialise(found.groupBy("print", "a", "b", "pos").agg(F.first("seen").alias("seen"), F.first("own_print").alias("seen_print")))
     pairs = found.join(
         of_items.select(
-            "print", F.col("a").alias("row"), F.col("pos").alias("at"), F.col("n").alias("words"), "exact", "own_print", F.col("slots").alias("own")
+            "print", F.col("a").alias("row"), F.col("pos").alias("at"), F.col("n").alias("words"), "runs", "exact", "own_print",
+            F.col("slots").alias("own"),
         ),
         "print",
     )
@@ -188,7 +218,7 @@ def matches(
     values_of = lambda x: F.array_distinct(F.flatten(F.collect_set(x(slots))))
     template = lambda x: F.when(~F.col("exact"), x)
     every = lambda x: F.col(x) if isinstance(x, str) else x
-    aligned = pairs.groupBy("a", "b", "row", "words", (F.col("pos") - F.col("at")).alias("offset")).agg(
+    aligned = pairs.groupBy("a", "b", "row", "words", "runs", (F.col("pos") - F.col("at")).alias("offset")).agg(
         F.max(F.size("own")).alias("k"),
         *[
             F.struct(listed_at(x).alias("at"), values_of(x).alias("s"), F.min(x(own)).alias("same")).alias(name)

@@ -52,6 +52,14 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def spanned(hashes: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A fingerprint of `size` words from each `at` on; that of a single word is its own."""
+    up, down = _WORDS.upto(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
+    return np.where(size == 1, hashes[at], mix((sums[at + size] - sums[at]) * down[at] + size.astype(np.uint64)))
+
+
 class Words:
     """Flat words of a chunk of texts.
 

@@ -23,3 +23,13 @@ def test_copies_are_found_in_any_case_and_at_any_literal_share(spark):
         QUESTION.replace("Tom has", "Lisa has", 1), "Tim Fox beat Max Orr", "Eve Lee beat Kim Ray 6-1 6-0 in Bonn Germany on 1 July 2010 before it",
     ]
     assert leaking(spark, docs, [DENSE, QUESTION]) == [[0], [0], [1], [1], [0], [], [], []]
+
+
+def test_values_of_other_lengths_shift_nothing(spark):
+    longer = QUESTION.replace("Tom", "Mary Ann").replace("12", "twenty five")
+    docs = [
+        "so " + longer, QUESTION.replace("Tom", "Lisa").replace("12", "twenty five").replace("Anna", "Mary Ann"),
+        "we ask what is the capital city of New York today?", longer.replace("Mary Ann", "Lisa", 1), "Mary Ann sees twenty five apples",
+        QUESTION.replace("7 km", "two hundred miles").replace("5 ", "1 000 ").replace("Tom", "Mary Ann Lee"),
+    ]
+    assert leaking(spark, docs, [QUESTION, "What is the capital city of Paris today?"]) == [[0], [0], [1], [], [], [0]]
