@@ -13,7 +13,8 @@ likely windows leave them, and what leaves is joined exactly.
 With `whole` (the queries), windows are also keyed by their lower-cased words, values included, so copies
 count in any case and at any share of literal words, alone or beside windows with other values. Texts are then
 also read in a second way, in which neighbouring names, and neighbouring numbers with their units, are one
-placeholder that holds the whole value, so that values of other lengths shift nothing.
+placeholder that holds the whole value, so that values of other lengths shift nothing. Numbers and units may get
+values that others have as well; only names must map one to one. Document units are compared by their singular.
 
 An item with fewer than `k` words is one window of its own length. Windows in which under half of
 the words are literal are no evidence if their values differ. Null or blank texts and items match nothing; items or
@@ -58,6 +59,7 @@ PLAIN = (
 ).split()
 _PUNCT = np.zeros(256, bool)
 _PUNCT[list(b".,;:!?()[]{}\"'")] = True
+_SINGULAR = {"feet": "foot", "inches": "inch"} | {u: u[:-1] for u in UNITS if u[-1] == "s" and u[:-1] in UNITS}
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x4E554D, 0x4E414D45, 0x554E4954))
 
 
@@ -65,11 +67,18 @@ def _prints(of: list[str]) -> np.ndarray:
     return next(words.chunks(pa.array([" ".join(of)]), True))[2].hashes
 
 
+def _singulars() -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of plural units in order, and of their singulars."""
+    plural, singular = _prints(list(_SINGULAR)), _prints(list(_SINGULAR.values()))
+    order = np.argsort(plural)
+    return plural[order], singular[order]
+
+
 class Templates:
     """Template words of a chunk of texts, and the values their slots hold (0: literal)."""
 
-    def __init__(self, w: words.Words, lists: tuple[np.ndarray, np.ndarray, np.ndarray]):
-        units, numbers, plain = lists
+    def __init__(self, w: words.Words, lists: tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]):
+        units, numbers, plain, singulars = lists
         data, start, end = w.data, w.starts.copy(), w.ends.copy()
         for _ in range(3):
             start += _PUNCT[data[start]] & (end - start > 1)
@@ -83,10 +92,16 @@ class Templates:
         unit = after & np.isin(own, units)
         upper = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
         name = upper & ~number & ~unit & ~np.isin(own, plain)
-        self.own = own
+        self.own, self.name = own, name
+        # The own word, a unit in its singular.
+        plural, singular = singulars
+        self.seen = own.copy()
+        found = np.minimum(np.searchsorted(plural, own), len(plural) - 1)
+        at = np.flatnonzero((plural[found] == own) & ~name)
+        self.seen[at] = singular[found[at]]
         self.slots = np.where(number | unit | name, own, np.uint64(0))
         self.tokens = np.select([number, unit, name], [NUMBER, UNIT, NAME], own)
-        self.words, self.runs = w, False
+        self.words, self.runs, self.sizes = w, False, np.ones(len(own), np.int64)
 
     def collapsed(self) -> Templates:
         """The same texts with each run of names, or of numbers and units, as one word."""
@@ -103,13 +118,19 @@ class Templates:
         slot = kind[at] > 0
         units = np.append(0, np.cumsum(unit))
         token = np.where(kind[at] == 1, NAME, np.where(units[at + size] > units[at], UNIT, NUMBER))
-        out.own = values
+        out.own, out.name = values, kind[at] == 1
+        out.seen = words.spanned(self.seen, at, size)
         out.slots = np.where(slot, values, np.uint64(0))
         out.tokens = np.where(slot, token, values)
-        out.words, out.runs = copy.copy(w), True
+        out.words, out.runs, out.sizes = copy.copy(w), True, size
         out.words.first = np.searchsorted(at, w.first)
         return out
 
+    def literal(self, at: np.ndarray, k: int) -> np.ndarray:
+        """Whether half of the words are literal, those inside placeholders counted one by one."""
+        all_words, plain = (np.append(0, np.cumsum(x)) for x in (self.sizes, self.slots == 0))
+        return 2 * (plain[at + k] - plain[at]) >= all_words[at + k] - all_words[at]
+
     def windows(self, k: int, whole: bool) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
         """Whether windows are keyed by their own words, their positions, keys and fingerprints of their words.
 
@@ -128,38 +149,40 @@ class Templates:
             yield True, at, own[at], own[at]
 
 
-_WINDOWS = "print long, a long, b long, pos int, n int, runs boolean, exact boolean, own_print long, slots array<long>, seen array<long>"
+_WINDOWS = "print long, a long, b long, pos int, n int, runs boolean, exact boolean, own_print long, slots array<long>, names array<boolean>, seen array<long>"
 
 
 def _rows(
-    t: Templates, exact: bool, at: np.ndarray, prints: np.ndarray, own: np.ndarray, k: int, a: np.ndarray, b: np.ndarray, item: bool
+    t: Templates, exact: bool, at: np.ndarray, prints: np.ndarray, own: np.ndarray, k: int, a: np.ndarray, b: np.ndarray, item: bool, whole: bool
 ) -> pa.RecordBatch:
     w = t.words
     text = np.searchsorted(w.first, at, "right") - 1
-    lists = lambda x: pa.ListArray.from_arrays(
-        pa.array(np.arange(len(at) + 1, dtype=np.int32) * k), pa.array(x[at[:, None] + np.arange(k)].view(np.int64).ravel())
-    )
-    none = pa.nulls(len(at), pa.list_(pa.int64()))
+    each = at[:, None] + np.arange(k)
+    lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * k), pa.array(x[each].ravel()))
+    none = lambda x: pa.nulls(len(at), pa.list_(x))
+    if item:
+        values = [lists(t.slots.view(np.int64)), lists(t.name), none(pa.int64())]
+    else:
+        values = [none(pa.int64()), none(pa.bool_()), lists((t.seen if whole else t.own).view(np.int64))]
     return pa.RecordBatch.from_arrays(
         [pa.array(prints.view(np.int64)), pa.array(a[text]), pa.array(b[text]), pa.array((at - w.first[text]).astype(np.int32)),
          pa.array(np.diff(w.first)[text].astype(np.int32)), pa.array(np.full(len(at), t.runs)), pa.array(np.full(len(at), exact)),
-         pa.array(own.view(np.int64)),
-         lists(t.slots) if item else none, none if item else lists(t.own)],
-        ["print", "a", "b", "pos", "n", "runs", "exact", "own_print", "slots", "seen"],
+         pa.array(own.view(np.int64)), *values],
+        ["print", "a", "b", "pos", "n", "runs", "exact", "own_print", "slots", "names", "seen"],
     )
 
 
 def windows(texts: DataFrame, k: int, lengths: list[int], bits=None, cells: int = 0, whole: bool = False) -> DataFrame:
     """Template windows of a table (a, b, text): of `k` words, and of each of `lengths`.
 
-    Items list `slots`, the values of their slots (0: literal), documents `seen`, all words.
+    Items list `slots`, the values of their slots (0: literal), and which are `names`, documents `seen`, all words.
 
     A shorter window must be the whole text if there are no bits yet (a benchmark item);
     with bits, only windows whose bits are set are listed.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = _prints(UNITS), _prints(NUMBERS), _prints(PLAIN)
+        lists = _prints(UNITS), _prints(NUMBERS), _prints(PLAIN), _singulars()
         for batch in batches:
             a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
             for i, j, w in words.chunks(batch.column("text"), lower=True):
@@ -170,9 +193,11 @@ def windows(texts: DataFrame, k: int, lengths: list[int], bits=None, cells: int
                             if bits is not None:
                                 m = sketch.holds(bits.value, prints, cells)
                             else:
-                                m = (length == k) | (t.words.counts[np.searchsorted(t.words.first, at, "right") - 1] == length)
+                                m = t.words.counts[np.searchsorted(t.words.first, at, "right") - 1] == length
+                                # A long item that is a few long values and little else is no template.
+                                m = (length == k) | (m if exact else m & t.literal(at, length))
                             if m.any():
-                                yield _rows(t, exact, at[m], prints[m], own[m], length, a[i:j], b[i:j], bits is None)
+                                yield _rows(t, exact, at[m], prints[m], own[m], length, a[i:j], b[i:j], bits is None, whole)
 
     return texts.mapInArrow(of, _WINDOWS)
 
@@ -208,11 +233,11 @@ def matches(
     pairs = found.join(
         of_items.select(
             "print", F.col("a").alias("row"), F.col("pos").alias("at"), F.col("n").alias("words"), "runs", "exact", "own_print",
-            F.col("slots").alias("own"),
+            F.col("slots").alias("own"), "names",
         ),
         "print",
     )
-    slots = F.filter(F.arrays_zip("own", "seen"), lambda x: x["own"] != 0)
+    slots = F.filter(F.arrays_zip("own", "names", "seen"), lambda x: x["own"] != 0)
     own = F.col("own_print") == F.col("seen_print")
     listed_at = lambda x: F.sort_array(F.collect_set(x("at")))
     values_of = lambda x: F.array_distinct(F.flatten(F.collect_set(x(slots))))
@@ -229,16 +254,19 @@ def matches(
     return (
         aligned.withColumn("e", F.explode(F.array("template", "every") if whole else F.array("template")))
         .withColumn("covered", covered)
-        .where((F.col("covered") >= cover * F.col("words")) & _consistent(F.col("e.s")))
+        .where((F.col("covered") >= cover * F.col("words")) & _consistent(F.col("e.s"), whole))
         .join(items.select(F.col("a").alias("row"), "item"), "row")
         .select("a", "b", "item", "offset", "covered", "words", "e.same")
     )
 
 
-def _consistent(s: Column) -> Column:
-    """Whether a benchmark value always stands for the same document value and the other way round."""
-    values = lambda c: F.size(F.array_distinct(F.transform(s, lambda x: x[c])))
-    return (values("own") == F.size(s)) & (values("seen") == F.size(s))
+def _consistent(s: Column, whole: bool) -> Column:
+    """Whether a benchmark value always stands for the same document value and the other way round (`whole`: names only)."""
+    values = lambda x, c: F.size(F.array_distinct(F.transform(x, lambda y: y[c])))
+    if not whole:
+        return (values(s, "own") == F.size(s)) & (values(s, "seen") == F.size(s))
+    names, others = F.filter(s, lambda x: x["names"]), F.filter(s, lambda x: ~x["names"])
+    return (values(names, "own") == F.size(names)) & (values(names, "seen") == F.size(names)) & (values(others, "own") == F.size(others))
 
 
 def mark(docs: DataFrame, found: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -33,3 +33,22 @@ def test_values_of_other_lengths_shift_nothing(spark):
         QUESTION.replace("7 km", "two hundred miles").replace("5 ", "1 000 ").replace("Tom", "Mary Ann Lee"),
     ]
     assert leaking(spark, docs, [QUESTION, "What is the capital city of Paris today?"]) == [[0], [0], [1], [], [], [0]]
+
+
+HOURS = "If a train that leaves at noon runs for 1 hour and another runs for 3 hours how far apart are both of them then?"
+
+
+def test_only_names_map_one_to_one(spark):
+    docs = [
+        QUESTION.replace("5 ", "4 ").replace("12 ", "4 "), HOURS.replace("1 hour", "2 hours").replace("3 hours", "5 hours"),
+        HOURS.replace("1 hour", "1 minute").replace("3 hours", "3 days"), QUESTION.replace("Tom", "Lisa").replace("Anna", "Lisa"),
+        QUESTION.replace("Tom", "Lisa").replace("5 ", "4 ").replace("12 ", "4 ").replace("3 ", "4 ").replace("7 ", "4 "),
+    ]
+    assert leaking(spark, docs, [QUESTION, HOURS]) == [[0], [1], [1], [], [0]]
+    back = HOURS.replace("1 hour", "2 hours").replace("3 hours", "1 hour")
+    assert leaking(spark, [HOURS], [back]) == [[0]]
+
+
+def test_a_few_long_values_are_no_template(spark):
+    item = "United Nations Security Council Report of the Royal Geographic Society London and Big River Valley Trust"
+    assert leaking(spark, ["so Tom of the North and South went", "so " + item.lower()], [item]) == [[], [0]]
