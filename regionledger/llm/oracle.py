@@ -76,3 +76,32 @@ spans AS (SELECT * FROM free p WHERE strong OR CASE role WHEN 'name' THEN {secre
 SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
   sha256({listed(' FILTER (kind < 3)')}) AS base_sha256, {listed('')} AS spans
 FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id"""
+
+
+def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Integer k-means of op11, one CTE per round; components in long form (row, part, position)."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(
+            f"d{t} AS (SELECT v.r, v.p, b.k, sum((v.v - b.c) * (v.v - b.c)) AS dist FROM comp v JOIN cb{t} b ON v.p = b.p AND v.j = b.j GROUP BY ALL),\n"
+            f"a{t} AS (SELECT r, p, first(k ORDER BY dist, k) AS k, min(dist) AS dist FROM d{t} GROUP BY r, p)"
+        )
+        if t < rounds:
+            steps.append(
+                f"cb{t + 1} AS (SELECT o.p, o.k, o.j, coalesce(n.c, o.c) AS c FROM cb{t} o LEFT JOIN ("
+                f"SELECT a.p, a.k, v.j, CAST((sum(v.v) - ((sum(v.v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS c"
+                f" FROM a{t} a JOIN comp v USING (r, p) GROUP BY ALL) n USING (p, k, j))"
+            )
+    return f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS ints, row_number() OVER () AS r
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+dim AS (SELECT CAST(ceil(max(len(ints)) / {parts}) AS BIGINT) AS m FROM kept),
+comp AS (SELECT r, CAST(i // m AS INTEGER) AS p, CAST(i % m AS INTEGER) AS j, coalesce(ints[i + 1], 0) AS v
+  FROM (SELECT r, ints, m, unnest(range(0, {parts} * m)) AS i FROM kept, dim)),
+seeds AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, ints) - 1 AS k FROM kept QUALIFY k < {entries}),
+cb0 AS (SELECT p, k, j, v AS c FROM comp JOIN seeds USING (r)),
+{",\n".join(steps)},
+res AS (SELECT r, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, k, j)) FROM cb{rounds}) AS codebooks_sha256
+FROM res JOIN kept USING (r)"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionledger.llm import jaccard, mixing, oracle, pii, quality, secrets, sharding, substring, templates, tokens, toxicity
+from regionledger.llm import codes, jaccard, mixing, oracle, pii, quality, secrets, sharding, substring, templates, tokens, toxicity
 from regionledger.sources import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,11 +124,33 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+#: Tables of up to so many labels are sent to every task; larger ones are joined by shuffle.
+FEW_LABELS = 100_000
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product-quantisation code and error of every usable vector, error summed per label, and the codebooks' digest."""
+    vectors = table(spark, sf_dir, "embeddings")
+    if "label" not in vectors.columns:
+        vectors = vectors.withColumn("label", F.lit(None).cast("long"))
+    book = codes.fit(vectors)
+    coded = codes.encode(vectors, book, keep=["vec_id", "label"])
+    per_label = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").cast("long").alias("label_error"))
+    few = per_label.limit(FEW_LABELS + 1).count() <= FEW_LABELS
+    joined = coded.join(F.broadcast(per_label) if few else per_label, coded["label"].eqNullSafe(per_label["_label"]))
+    return joined.select(
+        "vec_id", codes.hex_code(F.col("codes")).alias("code"), "error", "label_error",
+        F.lit(book.digest if book is not None else None).cast("string").alias("codebooks_sha256"),
+    )
+
+
 ORACLE["op1_secret_scan"] = oracle.secret_scan()
 ORACLE["op2_token_counts"] = oracle.token_counts()
 ORACLE["op3_substring_dedup"] = oracle.substring_dedup()
 ORACLE["op8_temperature_mix"] = oracle.temperature_mix(REPETITION_LIMIT)
 ORACLE["op10_jaccard_join"] = oracle.jaccard_join()
+ORACLE["op11_vector_codes"] = oracle.vector_codes()
 
 
 def queries() -> dict[str, Query]:
