@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionledger.llm import codes, jaccard, mixing, oracle, pii, quality, secrets, sharding, substring, templates, tokens, toxicity
+from regionledger.llm import codes, jaccard, simhash, mixing, oracle, pii, quality, secrets, sharding, substring, templates, tokens, toxicity
 from regionledger.sources import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document; 4-word shingles, 4 bits."""
+    return simhash.groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 ORACLE["op1_secret_scan"] = oracle.secret_scan()
 ORACLE["op2_token_counts"] = oracle.token_counts()
 ORACLE["op3_substring_dedup"] = oracle.substring_dedup()
