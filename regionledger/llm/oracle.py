@@ -105,3 +105,17 @@ res AS (SELECT r, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
   (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, k, j)) FROM cb{rounds}) AS codebooks_sha256
 FROM res JOIN kept USING (r)"""
+
+
+def ranked_search(top: int = 10) -> str:
+    term = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {term}) AS ts FROM documents),
+stats AS (SELECT count(*) FILTER (len(ts) > 0) AS big_n, sum(len(ts)) AS big_l FROM d),
+it AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {term})) AS term FROM benchmark),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM it) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, stats GROUP BY term, big_n),
+m AS (SELECT r, doc_id, 10 + (90 * CAST(len(ts) AS HUGEINT) * big_n) // big_l AS m FROM d, stats WHERE len(ts) > 0),
+sc AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS score FROM it JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM sc WHERE score > 0 QUALIFY rank <= {top}"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regionledger.llm import codes, jaccard, simhash, mixing, oracle, pii, quality, secrets, sharding, substring, templates, tokens, toxicity
+from regionledger.llm import codes, jaccard, search, simhash, mixing, oracle, pii, quality, secrets, sharding, substring, templates, tokens, toxicity
 from regionledger.sources import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,12 +151,19 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, by an automaton of all item terms."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLE["op1_secret_scan"] = oracle.secret_scan()
 ORACLE["op2_token_counts"] = oracle.token_counts()
 ORACLE["op3_substring_dedup"] = oracle.substring_dedup()
 ORACLE["op8_temperature_mix"] = oracle.temperature_mix(REPETITION_LIMIT)
 ORACLE["op10_jaccard_join"] = oracle.jaccard_join()
 ORACLE["op11_vector_codes"] = oracle.vector_codes()
+ORACLE["op13_ranked_search"] = oracle.ranked_search()
 
 
 def queries() -> dict[str, Query]:
