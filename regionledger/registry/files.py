@@ -59,19 +59,26 @@ def _src4(spark, d):
 @query(
     "src5_ragged_tsv",
     """SELECT 'row' AS kind, CAST(c_custkey AS VARCHAR) AS ID,
-       CASE WHEN c_custkey % 50 = 0 THEN c_name || chr(10) || 'second line' WHEN c_custkey % 7 = 1 THEN 'SITE NAME depot' ELSE c_name END AS "SITE NAME",
+       CASE WHEN c_custkey % 50 = 0 THEN c_name || chr(10) || 'second line' WHEN c_custkey % 7 = 1 THEN 'SITE NAME depot'
+            WHEN c_custkey % 11 = 3 THEN c_name || ' pipe 5" works' WHEN c_custkey % 13 = 5 THEN c_name || ' say "hi"' ELSE c_name END AS "SITE NAME",
        CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN c_mktsegment ELSE c_mktsegment || chr(9) || 'extra' END AS SEGMENT
        FROM customer UNION ALL SELECT 'rejected', CAST(0 AS VARCHAR), NULL, NULL""",
 )
 def _src5(spark, d):
-    """Data rows that hold the header's keyword, records of two lines, short and long rows, a trailer."""
+    """Data rows that hold the header's keyword, records of two lines, short and long rows, a trailer,
+    inch marks in unquoted fields and doubled quotes in quoted ones."""
     path = scratch.folder(spark)
     seg = (
         F.when(C("c_custkey") % 3 == 1, F.concat(F.lit("\t"), "c_mktsegment"))
         .when(C("c_custkey") % 3 == 2, F.concat(F.lit("\t"), "c_mktsegment", F.lit("\textra"))).otherwise("")
     )
-    name = F.when(C("c_custkey") % 50 == 0, F.concat("c_name", F.lit("\nsecond line"))).when(C("c_custkey") % 7 == 1, "SITE NAME depot").otherwise(C("c_name"))
+    name = (
+        F.when(C("c_custkey") % 50 == 0, F.concat("c_name", F.lit("\nsecond line"))).when(C("c_custkey") % 7 == 1, "SITE NAME depot")
+        .when(C("c_custkey") % 13 == 5, F.concat("c_name", F.lit(' say ""hi""'))).otherwise(C("c_name"))
+    )
     quoted = F.concat(F.lit('"'), name, F.lit('"'))
+    inch = (C("c_custkey") % 50 != 0) & (C("c_custkey") % 7 != 1) & (C("c_custkey") % 11 == 3)
+    quoted = F.when(inch, F.concat("c_name", F.lit(' pipe 5" works'))).otherwise(quoted)
     lines = _customers(spark, d).select(F.concat(C("c_custkey").cast("string"), F.lit("\t"), quoted, seg).alias("value"))
     trailer = t.read(spark, d, "region").where("r_regionkey = 0").select(F.lit("Total output lines: 99").alias("value"))
 
