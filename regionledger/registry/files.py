@@ -213,7 +213,7 @@ def _snk4(spark, d):
     path = scratch.folder(spark)
     for _ in range(2):
         writers.append_run(t.read(spark, d, "supplier"), path)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_cnt"), F.countDistinct("run_id").alias("run_cnt"))
+    return writers.runs(spark, path).agg(F.count(F.lit(1)).alias("row_cnt"), F.countDistinct("run_id").alias("run_cnt"))
 
 
 @query("snk5_latest_run", "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 2 = 0")

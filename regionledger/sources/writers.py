@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime
+import functools
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from regionledger.operators import quality
 from regionledger.sources import scratch
@@ -32,27 +34,96 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
+_MANIFESTS = "_manifests"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file written whole under a temporary name, then renamed into place."""
+    fs, target = _fs(spark, path)
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if not fs.rename(tmp, target):
+        fs.delete(tmp, False)
+        raise OSError(f"could not publish {path}")
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def append_run(df: DataFrame, path: str, run_id: str | None = None) -> str:
-    """Append results as a partition of their own, named by run time and id."""
+    """Append results as a run of their own, named by run time and id, and publish it.
+
+    The rows go to ``path/run=<stamp>_<id>``; row count and an order-independent digest
+    are observed in the same pass that writes them. Only then is a manifest written
+    (``path/_manifests/<run>.json``: files, schema, rows, digest) by one rename, so a run
+    whose write failed or is still going is never seen by `runs` or `latest_run`.
+    """
+    spark = df.sparkSession
     run_id = run_id or str(uuid.uuid4())
     now = datetime.datetime.now(datetime.timezone.utc)
-    stamp = now.strftime("%Y%m%dT%H%M%S%fZ")
-    stamped = df.withColumns({
-        "run_ts": F.lit(now), "run": F.lit(f"{stamp}_{run_id}"), "run_id": F.lit(run_id),
-    })
-    stamped.write.mode("append").partitionBy("run").parquet(path)
+    name = f"{now.strftime('%Y%m%dT%H%M%S%fZ')}_{run_id}"
+    stamped = df.withColumns({"run_ts": F.lit(now), "run_id": F.lit(run_id)})
+    seen = Observation(f"run_{uuid.uuid4().hex}")
+    digest = F.sum(F.xxhash64(*[F.col(c) for c in stamped.columns if c not in ("run_ts", "run_id")] or [F.lit(0)]).cast("decimal(38,0)"))
+    folder = f"{path.rstrip('/')}/run={name}"
+    stamped.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(digest, F.lit(0).cast("decimal(38,0)")).alias("digest")).write.parquet(folder)
+    fs, p = _fs(spark, folder)
+    files = sorted(str(f.getPath().toString()) for f in fs.listStatus(p) if f.getPath().getName().endswith(".parquet"))
+    metrics = seen.get
+    manifest = {
+        "run": name, "run_id": run_id, "run_ts": now.isoformat(), "files": files,
+        "schema": stamped.schema.json(), "rows": int(metrics["rows"]), "digest": str(metrics["digest"]),
+    }
+    _write_text(spark, f"{path.rstrip('/')}/{_MANIFESTS}/{name}.json", json.dumps(manifest))
     return run_id
 
 
+def manifests(spark: SparkSession, path: str) -> list[dict]:
+    """Published runs of a result table, oldest first."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{_MANIFESTS}")
+    if not fs.exists(p):
+        return []
+    names = sorted(str(f.getPath().toString()) for f in fs.listStatus(p) if f.getPath().getName().endswith(".json"))
+    return [json.loads(_read_text(spark, n)) for n in names]
+
+
+def _read(spark: SparkSession, manifest: dict) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(manifest["schema"]))
+    if not manifest["files"]:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*manifest["files"])
+
+
+def runs(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of every published run, read from exactly the files their manifests list."""
+    found = [_read(spark, m) for m in manifests(spark, path)]
+    return functools.reduce(DataFrame.unionByName, found) if found else spark.read.parquet(path)
+
+
 def latest_run(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest run of an appended result table.
+    """Rows of the newest published run of an appended result table.
 
-    Run names sort by time and the newest is found among the partitions' names, so only its
-    files are read. Of runs of one instant the larger id counts: one run, never two.
+    The newest manifest names the run (names sort by time; of one instant the larger id
+    counts), and only the files it lists are read. Runs without a manifest are never seen.
     """
-    runs = spark.read.option("mergeSchema", False).parquet(path)
-    newest = runs.select("run").distinct().agg(F.max("run")).first()[0]
-    return runs.where(F.col("run") == newest).drop("run")
+    published = manifests(spark, path)
+    if not published:
+        raise FileNotFoundError(f"no published run in {path}")
+    return _read(spark, published[-1])
 
 
 def publish_view(df: DataFrame, name: str) -> None:
