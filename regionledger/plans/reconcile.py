@@ -44,15 +44,57 @@ def survey_source(rows: DataFrame) -> DataFrame:
     )
 
 
-def _outer(source: DataFrame, stored: DataFrame) -> DataFrame:
-    keyed = [d.dropna(subset=S.FACT_KEY) for d in (source, stored)]
-    both = joins.full_outer(*keyed, S.FACT_KEY)
+def _located(both: DataFrame) -> DataFrame:
     fips = codes.zfill(F.col("state_cnty_fips_cd"), 5)
     return both.withColumn("state_cnty_fips_cd", fips).withColumn("state_fips", codes.state_of(fips)).withColumn(
         "county_fips", codes.county_of(fips)
     )
 
 
+def _outer(source: DataFrame, stored: DataFrame) -> DataFrame:
+    keyed = [d.dropna(subset=S.FACT_KEY) for d in (source, stored)]
+    return _located(joins.full_outer(*keyed, S.FACT_KEY))
+
+
+#: Tables of up to so many counties are sent to every task; larger ones are joined by shuffle.
+FEW_COUNTIES = 200_000
+
+
+def county_digests(cells: DataFrame, values: list[str]) -> DataFrame:
+    """Per county: cells, distinct keys and two order-independent 64-bit digest sums.
+
+    A cell's hash covers its key and its values as doubles (the comparison's own
+    terms), so equal digests on both sides mean, but for a chance of about 2^-128, the
+    same cells with the same values, whatever the order or partitioning.
+    """
+    keys = [F.col("year_num").cast("long"), F.col("state_cnty_fips_cd").cast("string"), F.col("naics2_sector_cd").cast("string")]
+    vals = [F.col(v).cast("double") for v in values]
+    wide = lambda h: F.sum(h.cast("decimal(38,0)"))
+    return cells.dropna(subset=S.FACT_KEY).groupBy(F.col("state_cnty_fips_cd").alias("_county")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(F.xxhash64(*keys)).alias("k"),
+        wide(F.xxhash64(*keys, *vals)).alias("d1"), wide(F.xxhash64(F.lit("second"), *keys, *vals)).alias("d2"),
+    )
+
+
+def digest_split(source: DataFrame, stored: DataFrame, pairs: dict) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(source cells of differing counties, stored cells of differing counties, source cells of equal counties).
+
+    Counties are equal when both sides hold the same number of cells with unique keys
+    and the same two digests; only the others are joined cell by cell.
+    """
+    a = county_digests(source, [p[0] for p in pairs.values()])
+    b = county_digests(stored, [p[1] for p in pairs.values()])
+    equal = a.join(b, ["_county", "n", "k", "d1", "d2"]).where(F.col("n") == F.col("k")).select("_county")
+    few = equal.limit(FEW_COUNTIES + 1).count() <= FEW_COUNTIES
+    equal = F.broadcast(equal) if few else equal
+    county = lambda d: d["state_cnty_fips_cd"] == equal["_county"]
+    return (
+        source.join(equal, county(source), "left_anti"),
+        stored.join(equal, county(stored), "left_anti"),
+        source.join(equal, county(source), "left_semi"),
+    )
+
+
 def _with_deltas(df: DataFrame, pairs: dict, deltas: dict) -> DataFrame:
     for short, (src, stored, _) in pairs.items():
         d = F.col(stored).cast("double") - F.col(src).cast("double")
@@ -71,7 +113,26 @@ def _presence(src: str, stored: str, source_label: str):
 
 def survey(source: DataFrame, stored: DataFrame) -> DataFrame:
     """Survey reconciliation: counts must be equal, money within 1,000; two-valued flags."""
-    df = _with_deltas(_outer(source, stored), SURVEY_PAIRS, SURVEY_DELTAS)
+    return _survey_report(_outer(source, stored))
+
+
+def survey_by_digest(source: DataFrame, stored: DataFrame) -> DataFrame:
+    """The same report as `survey`; counties whose digests agree are reported from the source alone.
+
+    In an equal county every cell is on both sides with equal values, so its stored
+    values are the source's (cast to the stored types) and no cell crosses the network
+    to meet its twin; the cell join only takes the counties that differ.
+    """
+    src_diff, stored_diff, src_equal = digest_split(source, stored, SURVEY_PAIRS)
+    types = dict(stored.dtypes)
+    mirrored = src_equal.dropna(subset=S.FACT_KEY).select(
+        *source.columns, *[F.col(a).cast(types[b]).alias(b) for a, b, _ in SURVEY_PAIRS.values()]
+    )
+    return survey(src_diff, stored_diff).unionByName(_survey_report(_located(mirrored)))
+
+
+def _survey_report(both: DataFrame) -> DataFrame:
+    df = _with_deltas(both, SURVEY_PAIRS, SURVEY_DELTAS)
     flags = []
     for short, (_, _, tol) in SURVEY_PAIRS.items():
         d = F.col(SURVEY_DELTAS[short])
@@ -160,7 +221,7 @@ def survey_whole_surface(source: DataFrame, stored: DataFrame) -> tuple[DataFram
     sectors = stored.select("naics2_sector_cd").distinct()
     inside = joins.qualifying(source, sectors, ["naics2_sector_cd"])
     outside = source.join(sectors, "naics2_sector_cd", "left_anti")
-    return survey(inside, stored), outside
+    return survey_by_digest(inside, stored), outside
 
 
 def combined(survey_report: DataFrame, payroll_report: DataFrame) -> DataFrame:

@@ -187,7 +187,7 @@ _RS_DOUBLES = [x for n, _, src, st, dl in _SV for x in (src, dl, f"delta_{n}_pct
 def _survey_report(spark, d):
     cells = t.loaded(t.survey_cells(spark, d))
     source = reconcile.survey_source(t.survey_raw(spark, d, cells).where(C("county") != "12"))
-    return reconcile.survey(source, t.stored_survey(spark, d, cells))
+    return reconcile.survey_by_digest(source, t.stored_survey(spark, d, cells))
 
 
 @query("dq10_reconcile_survey", _RECON_SURVEY, *_RS_DOUBLES)
