@@ -49,9 +49,17 @@ HOT_ROWS, HOT_KEYS = 1000, 10_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shingles(text: Column, width: int = WIDTH) -> Column:
-    """Space-joined windows of `width` words, repeats included; fewer words: all of them."""
-    words = F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), r"[ \t-\r]+"), lambda w: w != "")
+def words(text: Column) -> Column:
+    """Words of a text with A-Z lower-cased; none for null."""
+    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), r"[ \t-\r]+"), lambda w: w != "")
+
+
+def shingles(words: Column, width: int = WIDTH) -> Column:
+    """Space-joined windows of `width` words, repeats included; fewer words: all of them.
+
+    `words` must be a column, not an expression: a lambda would evaluate an expression
+    again for every window.
+    """
     n = F.size(words)
     windows = F.transform(F.sequence(F.lit(1), n - (width - 1)), lambda i: F.array_join(F.slice(words, i, width), " "))
     return F.when(n >= width, windows).when(n > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
@@ -74,7 +82,8 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`keep` columns and `fp` (signed long holding the 64 bits) of every row."""
-    rows = docs.select(F.struct(*keep).alias("_row"), F.transform(shingles(F.col(text)), lambda s: F.xxhash64(s)).alias("h"))
+    listed = docs.select(F.struct(*keep).alias("_row"), words(F.col(text)).alias("_w"))
+    rows = listed.select("_row", F.transform(shingles(F.col("_w")), lambda s: F.xxhash64(s)).alias("h"))
     schema = f"_row {rows.schema['_row'].dataType.simpleString()}, fp long"
     return rows.mapInArrow(_fold, schema).select("_row.*", "fp")
 
