@@ -6,8 +6,10 @@ segments of at most `MOST` words chooses boundaries and types jointly. It is tra
 exact gradient of the segmentation's likelihood on examples made of words of a bounded sample of
 documents and of personal data and look-alikes written by rule.
 
-Only stretches around a word with a digit, an `@` or a spelled-out dot are decoded; segments
-elsewhere have no feature of a span and would be no entity. Spans of the field that overlap a base
+Only stretches around a word with a digit, an `@` or a spelled-out dot are decoded, whole, however
+long (in overlapping pieces); segments elsewhere have no feature of a span and would be no entity.
+Words over LONG_WORD code points are cut at marks first, so data in minified JSON or long URLs is
+seen; spans over 200 code points have no features (no entity is that long). Spans of the field that overlap a base
 span are dropped, so base spans stay as they are.
 
 A null text counts as empty; every input row gives one output row; null and repeated ids
@@ -90,6 +92,13 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
 # Patterns and words of the features.
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _TRIGGER = re.compile(r"[0-9@]|[\[({<](dot|at)[\])}>]|^dot$", re.I)
+#: Matches somewhere in every text that has a word `_TRIGGER` matches (and in more).
+_ANY = re.compile(r"[0-9@]|[\[({<](dot|at)[\])}>]|dot", re.I)
+#: Words of a stretch decoded at once; longer stretches are decoded in overlapping pieces.
+STRETCH = 400
+#: Words longer than this (minified data, long URLs) are cut at marks into pieces that are words of their own.
+LONG_WORD = 200
+_PIECE = re.compile(r"[^,;:\"'()\[\]{}<>|=&?/\\]+")
 _JOINT = re.compile(r"[\[({<]?(dot|at|@)[\])}>]?", re.I)
 _SHAPES = tuple(re.compile(p, re.I) for p in (
     r"[a-z0-9._%+-]+@[a-z0-9-]+(\.[a-z0-9-]+)+",
@@ -121,15 +130,20 @@ N_FEATURES = 1 + 3 + len(_DIGIT_STEPS) + len(_SHAPES) + 3 + len(_CUES) + 2
 
 
 def tokens(t: str, begin: int = 0, end: int | None = None) -> list[tuple[int, int]]:
-    """Words without marks at their ends, save an opening bracket or plus of a number."""
+    """Words without marks at their ends, save an opening bracket or plus of a number.
+
+    A word longer than LONG_WORD code points is cut at marks (`_PIECE`), and each piece is a word.
+    """
     out = []
     for m in _WORD.finditer(t, begin, len(t) if end is None else end):
         a, b = m.span()
-        while b - a > 1 and t[b - 1] in _EDGE and not (t[b - 1] in ")]}>" and t[a] in "([{<"):
-            b -= 1
-        while b - a > 1 and t[a] in _EDGE and not (t[a] in "([{<" and (t[b - 1] in ")]}>" or t[a + 1].isdigit())):
-            a += 1
-        out.append((a, b))
+        pieces = [(a, b)] if b - a <= LONG_WORD else [p.span() for p in _PIECE.finditer(t, a, b)]
+        for a, b in pieces:
+            while b - a > 1 and t[b - 1] in _EDGE and not (t[b - 1] in ")]}>" and t[a] in "([{<"):
+                b -= 1
+            while b - a > 1 and t[a] in _EDGE and not (t[a] in "([{<" and (t[b - 1] in ")]}>" or t[a + 1].isdigit())):
+                a += 1
+            out.append((a, b))
     return out
 
 
@@ -324,21 +338,37 @@ def train(texts: list[str], examples: int = EXAMPLES, epochs: int = EPOCHS, seed
 
 
 def field_spans(t: str, weights: np.ndarray, moves: np.ndarray) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of the field's entities in a text."""
-    if not ("@" in t or "dot" in t or "DOT" in t or "Dot" in t or "at)" in t or "at]" in t or _DIGIT.search(t)):
+    """(start, kind, end) of the field's entities in a text.
+
+    A text is looked at if any part of it could hold a trigger (`_ANY` matches a superset
+    of what `_TRIGGER` finds in a word). A stretch of triggers is decoded whole, in pieces
+    of at most `STRETCH` words that overlap by two entities and context: a piece keeps
+    the entities that end before its overlap, and the next piece, which starts early
+    enough to see any entity across that point whole, adds those after the last kept one.
+    """
+    if not _ANY.search(t):
         return []
     at = tokens(t)
-    hits = [i for i, (a, b) in enumerate(at) if b - a <= 200 and _TRIGGER.search(t[a:b])]
+    hits = [i for i, (a, b) in enumerate(at) if _TRIGGER.search(t[a:b])]
     out = []
     i = 0
     while i < len(hits):
         j = i
-        while j + 1 < len(hits) and hits[j + 1] - hits[j] <= 2 * CONTEXT and hits[j + 1] - hits[i] < 400:
+        while j + 1 < len(hits) and hits[j + 1] - hits[j] <= 2 * CONTEXT:
             j += 1
         first, last = max(0, hits[i] - CONTEXT), min(len(at), hits[j] + CONTEXT + 1)
-        part = at[first:last]
-        for x, label, y in decode(_lattice(t, part), weights, moves):
-            out.append((part[x][0], len(BASE) + label - 1, part[y - 1][1]))
+        start, done = first, first
+        while True:
+            end = min(last, start + STRETCH)
+            part = at[start:end]
+            for x, label, y in decode(_lattice(t, part), weights, moves):
+                if start + x < done or (end < last and start + y > end - MOST):
+                    continue
+                out.append((part[x][0], len(BASE) + label - 1, part[y - 1][1]))
+                done = start + y
+            if end >= last:
+                break
+            start = max(start + 1, end - 2 * MOST - CONTEXT)
         i = j + 1
     out.sort()
     return out

@@ -124,3 +124,30 @@ def test_rows(spark):
         s = sorted((x["start"], x["end"]) for x in r.found if x["kind"] >= len(pii.BASE))
         assert all(a[1] <= b[0] for a, b in itertools.pairwise(s))
     assert pii.scan(docs.limit(0), model).collect() == []
+
+
+@pytest.fixture(scope="module")
+def trained():
+    return pii.train(["call me at the office, the number is on the card", "write to the desk or ring the front", "room 12 on floor 3"] * 5)
+
+
+def test_spelled_out_marks_are_looked_at_without_a_digit(trained):
+    for t in ("write to anna{at}example.com now", "reach JOHN (AT) EXAMPLE.COM today", "mail bob [at] mail [dot] org"):
+        alone, beside = pii.field_spans(t, *trained), pii.field_spans(t + " 7", *trained)
+        assert alone == [s for s in beside if s[2] <= len(t)]
+
+
+@pytest.mark.parametrize("before", [10, 399, 400, 401, 1234])
+def test_long_stretches_are_decoded_whole(trained, before):
+    tail = "call (555) 123 4567 or 4785 3805 9239 1139"
+    t = " ".join(["7"] * before) + " " + tail
+    near = pii.field_spans("7 " + tail, *trained)
+    got = [(a - len(t) + len(tail), k, b - len(t) + len(tail)) for a, k, b in pii.field_spans(t, *trained) if b > len(t) - len(tail)]
+    assert got == [(a - 2, k, b - 2) for a, k, b in near if b > 2]
+
+
+def test_long_words_are_cut_at_marks():
+    t = "a" * 250 + "(555)123-4567," + "b" * 10
+    pieces = [t[a:b] for a, b in pii.tokens(t)]
+    assert pieces == ["a" * 250, "555", "123-4567", "b" * 10]
+    assert all(pii._TRIGGER.search(p) for p in pieces[1:3])
