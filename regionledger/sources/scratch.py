@@ -34,9 +34,14 @@ def root(spark: SparkSession) -> str:
     return _local_root()
 
 
+def _own(spark: SparkSession) -> str:
+    """This application's working folder: other jobs under the same root have their own."""
+    return f"{root(spark)}/regionledger/{spark.sparkContext.applicationId}"
+
+
 def folder(spark: SparkSession) -> str:
-    """A fresh folder below the shared root."""
-    return f"{root(spark)}/regionledger/{uuid.uuid4().hex}"
+    """A fresh folder below this application's working folder."""
+    return f"{_own(spark)}/{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -48,10 +53,10 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def cleanup(spark: SparkSession) -> None:
-    """Remove every working folder of this library below the shared root.
+    """Remove this application's working tables; those of other jobs under the same root stay.
 
     For the end of a job, once its results are written elsewhere; frames that still read
     a working table fail afterwards.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root(spark)}/regionledger")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
