@@ -43,18 +43,19 @@ def _year(df: DataFrame, year: int | None) -> DataFrame:
     return df.where(F.col("year") == year) if year is not None and "year" in df.columns else df
 
 
-def reconcile_totals(df: DataFrame, year: int | None = None, tolerance: float = 1.0) -> DataFrame:
+def reconcile_totals(df: DataFrame, year: int | None = None, tolerance: float = 1.0, keys: tuple[str, ...] = ()) -> DataFrame:
     """Summed parts against the reported county total, per measure.
 
     Parts and total are told apart inside one aggregation, so the input is read
     and shuffled once where two aggregates and an outer join would do it twice.
+    `keys` (such as year) are grouped as well, so all years are one plan.
     """
     is_total = F.col("naics3") == TOTAL
     sums = []
     for c, short in MEASURES.items():
         sums.append(F.sum(F.when(~is_total, F.col(c))).alias(f"sum_{short}"))
         sums.append(F.sum(F.when(is_total, F.col(c))).alias(f"tot_{short}"))
-    rep = _year(df, year).dropna(subset=["state", "county"]).groupBy("state", "county").agg(
+    rep = _year(df, year).dropna(subset=["state", "county"]).groupBy(*keys, "state", "county").agg(
         *sums, F.count_if(is_total).alias("__t"), F.count_if(~is_total).alias("__p")
     )
     flags = []
@@ -72,15 +73,15 @@ def reconcile_totals(df: DataFrame, year: int | None = None, tolerance: float =
     return rep.withColumn("recon_ok", ~any_flag).withColumn("missing_side", missing).drop("__t", "__p")
 
 
-def roll_up(df: DataFrame, xwalk: DataFrame, year: int | None = None) -> DataFrame:
-    """Metro x industry sums with the metro's reported totals alongside."""
+def roll_up(df: DataFrame, xwalk: DataFrame, year: int | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Metro x industry sums with the metro's reported totals alongside; `keys` (such as year) are grouped as well."""
     base = _year(df, year).withColumn("state_fips", F.col("state")).withColumn("county_fips", F.col("county"))
     # Reduce to county grain first: the crosswalk then joins a few thousand rows.
-    sums = base.groupBy("state_fips", "county_fips", "naics3").agg(*[F.sum(c).alias(c) for c in MEASURES])
+    sums = base.groupBy(*keys, "state_fips", "county_fips", "naics3").agg(*[F.sum(c).alias(c) for c in MEASURES])
     merged = joins.many_to_one(sums, xwalk, ["state_fips", "county_fips"]).dropna(
         subset=["cbsa_code", "cbsa_title"]
     )
-    metro = ["cbsa_code", "cbsa_title"]
+    metro = [*keys, "cbsa_code", "cbsa_title"]
     parts = merged.where(F.col("naics3") != TOTAL).groupBy(*metro, "naics3").agg(
         *[aggregates.sum_or_null(c).alias(c) for c in MEASURES]
     )
@@ -92,12 +93,13 @@ def roll_up(df: DataFrame, xwalk: DataFrame, year: int | None = None) -> DataFra
     return parts.join(totals, metro, "left")
 
 
-def large_metros(metros: DataFrame, xwalk: DataFrame, by: str = "firms", threshold: int = 20000) -> DataFrame:
-    """Rows of metros whose firms or population reach the threshold."""
+def large_metros(metros: DataFrame, xwalk: DataFrame, by: str = "firms", threshold: int = 20000, within: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of metros whose firms or population reach the threshold; firms are judged within `within` (such as year)."""
     keys = ["cbsa_code", "cbsa_title"]
     if by == "population" and "cbsa_pop" in xwalk.columns:
         big = aggregates.groups_at_least(xwalk, keys, "cbsa_pop", threshold)
     else:
+        keys = [*within, *keys]
         big = aggregates.groups_at_least(metros, keys, "cbsa_tot_firms", threshold)
     return joins.qualifying(metros, big, keys)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -212,15 +211,10 @@ def _metro(spark, d):
     return metro.normalise(t.metro_raw(spark, d))
 
 
-def _each_year(one) -> DataFrame:
-    """The plan of one year, for every year."""
-    frames = [one(y).withColumn("year", F.lit(y)) for y in t.YEARS]
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 def _reconciled(spark, d):
     m = t.loaded(_metro(spark, d))
-    return _each_year(lambda y: metro.reconcile_totals(m, y))
+    out = metro.reconcile_totals(m, keys=("year",))
+    return out.select(*[c for c in out.columns if c != "year"], "year")
 
 
 @query("pl7_parts_vs_total", _recon_sql(), *_RECON_DOUBLES)
@@ -238,7 +232,8 @@ _CBSA_DOUBLES = ["FIRMPDEMP", "EMP", "PAYANN", "RCPPDEMP", "cbsa_tot_firms", "cb
 
 def _rolled(spark, d):
     m, x = t.loaded(_metro(spark, d)), metro.crosswalk(t.crosswalk(spark, d))
-    return _each_year(lambda y: metro.roll_up(m, x, y))
+    out = metro.roll_up(m, x, keys=("year",))
+    return out.select(*[c for c in out.columns if c != "year"], "year")
 
 
 @query("pl8_metro_roll_up", _CBSA, *_CBSA_DOUBLES)
@@ -254,7 +249,7 @@ def _pl8(spark, d):
 )
 def _pl9(spark, d):
     rolled, x = t.loaded(_rolled(spark, d)), metro.crosswalk(t.crosswalk(spark, d))
-    a = _each_year(lambda y: metro.large_metros(rolled.where(F.col("year") == y).drop("year"), x, threshold=1300)).withColumn("by_what", F.lit("firms"))
+    a = metro.large_metros(rolled, x, threshold=1300, within=("year",)).withColumn("by_what", F.lit("firms"))
     return a.unionByName(metro.large_metros(rolled, x, "population", 65000).withColumn("by_what", F.lit("population")))
 
 
