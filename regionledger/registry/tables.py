@@ -25,6 +25,9 @@ INDUSTRIES = [
 # Counties absent from the county references, so that lookups can miss.
 UNLISTED = [7, 19]
 YEARS = list(range(1995, 2002))
+# The order level sums have nearly one group per line item, so a task holds its share of
+# the lines. The share is fixed and the number of tasks follows the input.
+LINES_PER_TASK = 250_000
 
 
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -74,8 +77,15 @@ def industries(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def line_tasks(spark: SparkSession, d: str) -> int:
+    """Tasks of the order level steps; the row counts come from the file footers."""
+    rows = max(read(spark, d, table).count() for table in ("lineitem", "orders"))
+    return max(spark.sparkContext.defaultParallelism, -(-rows // LINES_PER_TASK))
+
+
 def survey_cells(spark: SparkSession, d: str) -> DataFrame:
     """County x sector x year; firms are customers, employment is orders."""
+    tasks = line_tasks(spark, d)
     lines = read(spark, d, "lineitem").select(
         "l_orderkey", "l_partkey", hundredths("l_extendedprice").alias("rcpt"),
         (hundredths("l_extendedprice") * hundredths("l_discount")).alias("pay"),
@@ -83,7 +93,7 @@ def survey_cells(spark: SparkSession, d: str) -> DataFrame:
     per_order = (
         lines.join(industries(spark, d), F.col("l_partkey") == F.col("p_partkey"))
         # One exchange serves the sum and the join with orders.
-        .repartition("l_orderkey").groupBy("l_orderkey", "naics2_sector_cd")
+        .repartition(tasks, "l_orderkey").groupBy("l_orderkey", "naics2_sector_cd")
         .agg(F.sum("pay").alias("pay"), F.sum("rcpt").alias("rcpt"))
     )
     buyers = read(spark, d, "customer").join(
@@ -94,7 +104,8 @@ def survey_cells(spark: SparkSession, d: str) -> DataFrame:
     ).join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     per_firm = (
         per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(*S.FACT_KEY, "c_custkey")
+        # A firm's orders are spread over all tasks: sums before this exchange would save no rows.
+        .repartition(tasks, *S.FACT_KEY, "c_custkey").groupBy(*S.FACT_KEY, "c_custkey")
         .agg(F.count(F.lit(1)).alias("emp"), F.sum("pay").alias("pay"), F.sum("rcpt").alias("rcpt"))
     )
     cells = per_firm.groupBy(*S.FACT_KEY).agg(
