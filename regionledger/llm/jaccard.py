@@ -362,19 +362,21 @@ def _join(docs: DataFrame, like: Likeness, doc_id: str, text: str) -> tuple[Data
     entries = scratch.materialise(
         entries.groupBy("key", "cls", "subset").agg(F.first("n").alias("n"), F.min("pos").alias("pos"))
     )
+    # Entries move once more, with their lists' sizes; keys of one set go.
+    size = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    listed = scratch.materialise(entries.join(size, "key"))
+    long = scratch.materialise(listed.where(F.col("size") > SHORT_LIST).select(*entries.columns))
+    # Only long lists have leaders.
     order = F.xxhash64("cls")
-    head = entries.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"),
+    head = scratch.materialise(long.groupBy("key").agg(
         F.min(F.struct("pos", order.alias("o"), "cls", "n")).alias("central"), F.min(F.struct(order.alias("o"), "pos", "cls", "n")).alias("any"),
-    ).where("size > 1")
-    head = scratch.materialise(head)
-    long = scratch.materialise(entries.join(head.where(F.col("size") > SHORT_LIST).select("key"), "key", "left_semi"))
+    ))
     far = long.groupBy(F.col("cls").alias("c")).agg(F.count(F.lit(1)).alias("far"))
-    short = entries.join(head.where(F.col("size") <= SHORT_LIST).select("key"), "key", "left_semi")
+    short = listed.where(F.col("size") <= SHORT_LIST).select(*entries.columns)
     short = short.join(far, short["cls"] == far["c"], "left").select(*entries.columns, F.coalesce("far", F.lit(0)).alias("far"))
     pairs = _counted_candidates(scratch.materialise(short), like, heavy)
     for leader in ("central", "any"):
-        lead = head.where(F.col("size") > SHORT_LIST).select(
+        lead = head.select(
             F.col("key").alias("key_b"), *[F.col(f"{leader}.{c}").alias(f"{c}_b") for c in ("cls", "n", "pos")]
         )
         pairs = pairs.unionAll(_candidates(long, lead, like, heavy, F.lit(True)))
