@@ -87,6 +87,15 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
         yield from enumerate(w.shingles(k), a)
 
 
+def _planes(counts: np.ndarray) -> bytes:
+    """Counts byte by byte: all lowest bytes, then the next ones, which are nearly all zero and pack to nothing."""
+    return np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _of_planes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _counted(k: int, counters: int):
     """A row per document, and the task's counts at its end."""
     kinds = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
@@ -113,7 +122,7 @@ def _counted(k: int, counters: int):
             for p in range(0, counters, step):
                 part = sums[row, p : p + step]
                 if part.any():
-                    blob = pack.compress(part.tobytes())
+                    blob = pack.compress(_planes(part))
                     yield pa.RecordBatch.from_pydict({"doc_id": [None], "fp": [None], "cls": [None], "n": [None], "part": [row * counters + p], "counts": [blob]}, kinds)
 
     def _add(sums: np.ndarray, held: list[np.ndarray]) -> None:
@@ -133,7 +142,7 @@ def _levels(parts: DataFrame, counters: int) -> tuple[np.ndarray, float]:
         unpack, sums = zstandard.ZstdDecompressor(), {}
         for batch in batches:
             for part, blob in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-                new = np.frombuffer(unpack.decompress(blob), np.uint32)
+                new = _of_planes(unpack.decompress(blob))
                 sums[part] = sums[part] + new if part in sums else new.astype(np.uint64)
         level = [np.minimum(np.round(8 * np.log2(np.maximum(v, 1).astype(float))) + (v > 0), 255).astype(np.uint8) for v in sums.values()]
         yield pa.RecordBatch.from_pydict({
@@ -152,8 +161,13 @@ def _levels(parts: DataFrame, counters: int) -> tuple[np.ndarray, float]:
 
 
 def boundary(sizes: list[tuple[int, int]], like: Likeness, list_length: float) -> int:
-    """The size from which on sets are heavy: the cheapest for a histogram of (size, sets)."""
+    """The size from which on sets are heavy: the cheapest for a histogram of (size, sets).
+
+    `list_length` is the mean count of a used counter. It grows with the table once all counters are in use, but
+    an entry of a list is never compared with more than SHORT_LIST others.
+    """
     best, cost = 0, None
+    list_length = min(list_length, SHORT_LIST)
     tail = sum(c * (n - like.least(n) + 1) * (1 + SCAN_COST * list_length) for n, c in sizes)
     head = 0.0
     for n, c in [(0, 0), *sorted(sizes)]:
@@ -317,7 +331,9 @@ def verified(texts: DataFrame, pairs: DataFrame, like: Likeness, max_cells: int
     sets = scratch.materialise(found.dropDuplicates(["cls"]).join(classes, "cls", "left_semi"))
     x = sets.select(F.col("cls").alias("a"), F.col("members").alias("x"))
     y = sets.select(F.col("cls").alias("b"), F.col("members").alias("y"))
-    return scratch.materialise(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"))
+    links = scratch.materialise(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"))
+    scratch.drop(classes, sets)
+    return links
 
 
 @contextlib.contextmanager
@@ -337,7 +353,7 @@ def join(docs: DataFrame, like: Likeness = Likeness(), doc_id: str = "doc_id", t
 
     Links suffice to connect whatever is linked; of a group of near copies not all are listed.
     """
-    with _small_batches(docs.sparkSession):
+    with _small_batches(docs.sparkSession), scratch.released(docs.sparkSession):
         return _join(docs, like, doc_id, text)
 
 
@@ -345,8 +361,9 @@ def _join(docs: DataFrame, like: Likeness, doc_id: str, text: str) -> tuple[Data
     spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("fp"), F.col(text).alias("text"))
     first = scratch.materialise(texts.mapInArrow(_counted(like.k, COUNTERS), "doc_id long, fp long, cls long, n long, part int, counts binary"))
-    members = first.where("part IS NULL").select("doc_id", "fp", "cls", "n")
+    members = scratch.materialise(first.where("part IS NULL").select("doc_id", "fp", "cls", "n"))
     levels, length = _levels(first.where("part IS NOT NULL").select("part", "counts"), COUNTERS)
+    scratch.drop(first)
     levels = spark.sparkContext.broadcast(levels)
     # Sizes in steps of an eighth: a histogram of a bounded number of rows.
     step = F.when(F.col("n") < 64, F.col("n")).otherwise(F.floor(F.pow(2.0, F.floor(F.log2("n") * 8) / 8)))
@@ -365,6 +382,7 @@ def _join(docs: DataFrame, like: Likeness, doc_id: str, text: str) -> tuple[Data
     # Entries move once more, with their lists' sizes; keys of one set go.
     size = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     listed = scratch.materialise(entries.join(size, "key"))
+    scratch.drop(entries)
     long = scratch.materialise(listed.where(F.col("size") > SHORT_LIST).select(*entries.columns))
     # Only long lists have leaders.
     order = F.xxhash64("cls")
@@ -374,13 +392,15 @@ def _join(docs: DataFrame, like: Likeness, doc_id: str, text: str) -> tuple[Data
     far = long.groupBy(F.col("cls").alias("c")).agg(F.count(F.lit(1)).alias("far"))
     short = listed.where(F.col("size") <= SHORT_LIST).select(*entries.columns)
     short = short.join(far, short["cls"] == far["c"], "left").select(*entries.columns, F.coalesce("far", F.lit(0)).alias("far"))
-    pairs = _counted_candidates(scratch.materialise(short), like, heavy)
+    short = scratch.materialise(short)
+    pairs = _counted_candidates(short, like, heavy)
     for leader in ("central", "any"):
         lead = head.select(
             F.col("key").alias("key_b"), *[F.col(f"{leader}.{c}").alias(f"{c}_b") for c in ("cls", "n", "pos")]
         )
         pairs = pairs.unionAll(_candidates(long, lead, like, heavy, F.lit(True)))
     pairs = scratch.materialise(pairs.distinct())
+    scratch.drop(short)
     links = verified(texts, pairs, like)
     if long.limit(1).count():
         labels = components(links)
