@@ -126,7 +126,8 @@ def _before(n: int) -> int:
 def links(prints: DataFrame) -> DataFrame:
     """(a, b), a < b: distinct fingerprints within DISTANCE bits, from the positional-byte index."""
     keyed = prints.select("fp", F.explode(_keys(F.col("fp"))).alias("key"))
-    a, b = keyed.alias("a"), keyed.alias("b")
+    # Spark sizes the index as if every fingerprint had one key, so its size check would broadcast 70 times too much.
+    a, b = keyed.alias("a"), keyed.alias("b").hint("merge")
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))).select(
         F.col("a.fp").alias("a"), F.col("b.fp").alias("b"), F.shiftright(F.col("a.key"), 32).cast("int").alias("set")
     )
