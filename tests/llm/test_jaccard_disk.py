@@ -28,6 +28,13 @@ def test_the_boundary_does_not_grow_with_the_table():
     assert jaccard.boundary(sizes, like, 1.0) <= jaccard.boundary(sizes, like, 16.0)
 
 
+@pytest.mark.parametrize("like", [jaccard.Likeness(), jaccard.Likeness(5, 4, 5)])
+def test_texts_of_usual_length_are_heavy_on_any_table(like):
+    # 470 shingles a text; the mean count of a used counter as on 0.1 GB, 0.5 GB and 6 GB.
+    for length in (5.7, 30.0, 384.0):
+        assert jaccard.boundary([(470, 3_000_000)], like, length) <= 470
+
+
 def test_full_counters_do_not_multiply_the_keys(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "COUNTERS", 64)
     asked = []
